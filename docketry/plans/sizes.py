@@ -11,6 +11,18 @@ BROADCAST_ROWS = 200_000
 SALTS = 32
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give every core work when the input has fewer splits than there are cores.
+
+    Meant for steps that cost much more than the shuffle of their input, such as
+    text rules or model calls.  A large input has splits enough and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True if ``df`` has at most ``max_rows`` rows; reads no more than it must."""
     return df.limit(max_rows + 1).count() <= max_rows

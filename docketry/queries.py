@@ -248,7 +248,7 @@ def clean_text(spark, sf_dir):
 
 @query
 def clean_documents(spark, sf_dir):
-    docs = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = views.documents(spark, sf_dir)
     return clean.clean_text(docs).select("doc_id", "text", *_bigint("length"))
 
 
@@ -311,7 +311,7 @@ def to_json_rows(spark, sf_dir):
 
 @query
 def chunk_recursive(spark, sf_dir):
-    docs = views.table(spark, sf_dir, "documents").select(
+    docs = views.documents(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("source"),
         F.lit(0).alias("section_ix"),
         "text",
@@ -331,7 +331,7 @@ def chunk_opinions(spark, sf_dir):
 
 @query
 def chunk_tokens(spark, sf_dir):
-    docs = views.table(spark, sf_dir, "documents").select(
+    docs = views.documents(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("source"),
         F.lit(0).alias("section_ix"),
         "text",
@@ -343,13 +343,13 @@ def chunk_tokens(spark, sf_dir):
 
 @query
 def tokenize_documents(spark, sf_dir):
-    docs = views.table(spark, sf_dir, "documents")
+    docs = views.documents(spark, sf_dir)
     return docs.select("doc_id", F.array_join(tokenize(F.col("text")), " ").alias("tokens"))
 
 
 def _document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document as one chunk."""
-    return views.table(spark, sf_dir, "documents").select(
+    return views.documents(spark, sf_dir).select(
         F.col("doc_id").alias("chunk_id"), F.col("text").alias("content")
     )
 

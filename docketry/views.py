@@ -8,6 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketry.plans.sizes import spread
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document texts, spread over the cores for the costly text rules."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -72,7 +79,7 @@ def opinions(spark: SparkSession, sf_dir: str) -> DataFrame:
     The order with the document's number and its customer and nation give the
     header; a document without an order keeps a header of blanks.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"))
+    docs = documents(spark, sf_dir).withColumnRenamed("text", "body")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("doc_id"), "o_custkey", "o_orderstatus", "o_orderdate"
     )
