@@ -2,28 +2,60 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that count as white space, digits and word characters.
 WHITESPACE = r"\t-\r\x1c-\x1f\x85\p{Z}"
+_WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 WORD = r"\p{L}\p{N}_"
 
 
+_AFTER_WORD = re.compile(r"(?:[A-Za-z]|\\d\+|\))\Z")
+_BEFORE_WORD = re.compile(r"(?:\((?:\?:)?)?(?:[A-Za-z]|\[A-Z])")
+
+
+def _boundaries(pattern: str) -> str:
+    """Spell out ``\\b`` for our word characters.
+
+    Next to something that is a word character anyway, one look at the other
+    side is enough.
+    """
+    done, *rest = pattern.split(r"\b")
+    for tail in rest:
+        if _AFTER_WORD.search(done):
+            edge = f"(?![{WORD}])"
+        elif _BEFORE_WORD.match(tail):
+            edge = f"(?<![{WORD}])"
+        else:
+            edge = f"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
+        done += edge + tail
+    return done
+
+
 def jvm_regex(pattern: str, flags: str = "") -> str:
     """Turn a portable pattern into a Java one.
 
-    ``\\w \\s \\d`` become explicit Unicode classes, which is both exact and
-    faster than asking the JVM for Unicode properties.  ``U`` keeps ``\\b`` and
-    ignore-case Unicode-aware; ``d`` lets only ``\\n`` end a line.
+    ``\\w \\s \\d \\b`` are spelled out as Unicode classes, which is both exact and
+    faster than the JVM's Unicode mode.  ``u`` lets ignore-case work beyond
+    ASCII; ``d`` lets only ``\\n`` end a line.
     """
     body = (
-        pattern.replace(r"\w", f"[{WORD}]")
+        _boundaries(pattern)
+        .replace(r"\w", f"[{WORD}]")
         .replace(r"\S", f"[^{WHITESPACE}]")
         .replace(r"\s", f"[{WHITESPACE}]")
         .replace(r"\d", r"\p{Nd}")
     )
-    return f"(?Ud{flags}){body}"
+    if "i" in flags:
+        # The one letter beyond ASCII that ignoring case should add, and Java does not.
+        body = body.replace("A-Z", r"A-Z\u0130")
+    return f"(?ud{flags}){body}"
 
 
 def null_if_empty(col: Column) -> Column:
@@ -32,9 +64,7 @@ def null_if_empty(col: Column) -> Column:
 
 def strip(col: Column) -> Column:
     """Remove white space (any Unicode kind) from both ends."""
-    return F.regexp_replace(
-        col, jvm_regex(r"\A\s+|(?<!\s)\s+\z"), ""
-    )
+    return F.btrim(col, F.lit(_WHITESPACE_CHARS))
 
 
 def first_group(col: Column, pattern: str, group: int = 1, flags: str = "") -> Column:

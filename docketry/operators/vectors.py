@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -204,8 +205,13 @@ def _hit_schema(vectors: DataFrame, queries: DataFrame) -> str:
     )
 
 
-def _search_broadcast(vectors: DataFrame, queries: DataFrame, k: int, metric: str) -> DataFrame:
-    """Each task scores its vectors against all queries and keeps ``k`` per query."""
+def _search_broadcast(vectors: DataFrame, queries: DataFrame, k: int, metric: str,
+                      dim: int) -> DataFrame:
+    """Each task scores its vectors against all queries and keeps ``k`` per query.
+
+    Vectors of another length are left out here, not by a filter: a filter
+    would be pushed below the embedding and work it out twice.
+    """
     table = queries.toPandas()
     shared = vectors.sparkSession.sparkContext.broadcast(
         (table["query_id"].to_numpy(), np.stack(table["vector"].to_numpy()).astype(np.float64))
@@ -214,6 +220,8 @@ def _search_broadcast(vectors: DataFrame, queries: DataFrame, k: int, metric: st
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(*shared.value, k, metric)
         for block in blocks:
+            fits = pc.equal(pc.list_value_length(block.column("vector")), dim)
+            block = block.filter(pc.fill_null(fits, False))
             if block.num_rows:
                 ids = block.column("point_id").to_numpy(zero_copy_only=False)
                 best.add(ids, _matrix(block.column("vector")))
@@ -293,13 +301,13 @@ def search_dense(
     n, dim, shortest = sized
     if n and dim != shortest:
         raise ValueError("query vectors differ in length")
-    usable = vectors.where(F.size("vector") == (dim or 0))
     if n == 0 or n * dim * 8 <= max_query_bytes:
         hits = (
-            _search_broadcast(usable, queries, k, metric) if n
-            else usable.sparkSession.createDataFrame([], _hit_schema(vectors, queries))
+            _search_broadcast(vectors, queries, k, metric, dim) if n
+            else vectors.sparkSession.createDataFrame([], _hit_schema(vectors, queries))
         )
     else:
+        usable = vectors.where(F.size("vector") == dim)
         hits = _search_tiled(usable, queries, k, metric, n, tile_rows)
     score = F.col("score").asc() if metric == "euclid" else F.col("score").desc()
     top = rank_hits(hits, k, score, "point_id")

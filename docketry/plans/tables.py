@@ -46,11 +46,17 @@ def next_batch(spark: SparkSession, path: str) -> int:
     return max([-1, *batches(spark, path, "base"), *batches(spark, path, "delta")]) + 1
 
 
-def write_batch(df: DataFrame, path: str, batch: int, kind: str = "delta",
-                partition_by: Sequence[str] = ()) -> None:
+def write_batch(df: DataFrame, path: str, batch: int, kind: str | None = None,
+                partition_by: Sequence[str] = ()) -> str:
+    """Write one batch and return its folder.  The first one becomes the base."""
+    if kind is None:
+        earlier = [b for k in ("base", "delta") for b in batches(df.sparkSession, path, k) if b < batch]
+        kind = "delta" if earlier else "base"
     if "deleted" not in df.columns:
         df = df.withColumn("deleted", F.lit(False))
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{kind}={batch}")
+    folder = f"{path}/{kind}={batch}"
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+    return folder
 
 
 def drop_table(spark: SparkSession, path: str) -> bool:
@@ -58,37 +64,44 @@ def drop_table(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.delete(p, True)
 
 
-def read_current(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame | None:
+def read_current(spark: SparkSession, path: str, key: Sequence[str],
+                 keys_in: str | None = None) -> DataFrame | None:
     """The current rows, or None when the table was never written.
 
     The base is not shuffled: only the keys that later batches touch are
     removed from it.  Each later batch is likewise reduced by the ones after it
-    through one narrow aggregate of keys.
+    through one narrow aggregate of keys.  ``keys_in`` names a table written in
+    the same batches that lists each key once; where this table has many rows
+    per key, it is the cheaper place to look for them.
     """
     bases = batches(spark, path, "base")
     newest_base = bases[-1] if bases else -1
     later = [b for b in batches(spark, path, "delta") if b > newest_base]
 
-    def folder(kind: str, batch: int) -> DataFrame:
+    def folder(kind: str, batch: int, at: str = path) -> DataFrame:
         # No base path: partition columns inside the folder are still found.
-        return spark.read.parquet(f"{path}/{kind}={batch}")
+        return spark.read.parquet(f"{at}/{kind}={batch}")
+
+    def union(at: str) -> DataFrame:
+        return reduce(
+            lambda a, b: a.unionByName(b, allowMissingColumns=True),
+            [folder("delta", b, at).withColumn("_batch", F.lit(b)) for b in later],
+        )
 
     base = folder("base", newest_base) if bases else None
     if not later:
         return None if base is None else base.where(~F.col("deleted")).drop("deleted")
-    changes = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [folder("delta", b).withColumn("_batch", F.lit(b)) for b in later],
-    )
+    changes = union(path)
+    touched = changes if keys_in is None else union(keys_in)
     key = list(key)
     live = changes
     if len(later) > 1:
-        latest = changes.groupBy(*key).agg(F.max("_batch").alias("_batch"))
-        live = changes.join(latest, [*key, "_batch"], "left_semi")
+        latest = touched.groupBy(*key).agg(F.max("_batch").alias("_batch"))
+        live = semi_or_anti(changes, latest, [*key, "_batch"], "left_semi")
     live = live.where(~F.col("deleted")).drop("deleted", "_batch")
     if base is None:
         return live
-    kept = semi_or_anti(base.where(~F.col("deleted")).drop("deleted"), changes, key, "left_anti")
+    kept = semi_or_anti(base.where(~F.col("deleted")).drop("deleted"), touched, key, "left_anti")
     return kept.unionByName(live, allowMissingColumns=True)
 
 

@@ -127,10 +127,7 @@ def scan_files(spark, sf_dir):
 @query
 def extract_pages(spark, sf_dir):
     """Web pages as files through the pluggable extractor."""
-    raw = views.table(spark, sf_dir, "pages").select(
-        F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("file_name"),
-        F.encode("html", "UTF-8").alias("content"),
-    )
+    raw = views.page_files(spark, sf_dir)
     good, _ = files.with_errors(files.extract(raw))
     return good.select("source", *_bigint("page_no"), "text")
 
@@ -138,10 +135,7 @@ def extract_pages(spark, sf_dir):
 @query
 def quarantine(spark, sf_dir):
     """Files a parser rejects: pages that are not a full HTML document."""
-    raw = views.table(spark, sf_dir, "pages").select(
-        F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("file_name"),
-        F.encode("html", "UTF-8").alias("content"),
-    )
+    raw = views.page_files(spark, sf_dir)
 
     def strict(_name: str, content: bytes) -> list[str]:
         if not content.rstrip().endswith(b"</html>"):

@@ -5,9 +5,11 @@ from __future__ import annotations
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from docketry.functions import fixed_values as fixed
 from docketry.session import ship_package
@@ -74,9 +76,13 @@ def statute_sections(files: DataFrame, namespace: str | None = None,
 
     ship_package(files.sparkSession)
 
-    @F.pandas_udf(_SECTIONS)
-    def parse(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda xml: _sections(xml, namespace))
+    arrow_type = to_arrow_schema(T.StructType.fromDDL(f"s {_SECTIONS}")).field(0).type
+
+    @F.arrow_udf(_SECTIONS)
+    def parse(texts: pa.Array) -> pa.Array:
+        return pa.array(
+            [_sections(xml, namespace) if xml else None for xml in texts.to_pylist()], arrow_type
+        )
 
     found = files.select(
         F.col(path).alias("source_file"), F.inline_outer(parse(F.col(value)))

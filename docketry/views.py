@@ -167,6 +167,15 @@ def statute_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages as files."""
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+    return pages.select(
+        F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("file_name"),
+        F.encode("html", "UTF-8").alias("content"),
+    )
+
+
 def centroid_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One query vector per label: the mean of its vectors, component by component."""
     parts = table(spark, sf_dir, "embeddings").select(
