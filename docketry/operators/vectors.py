@@ -18,6 +18,7 @@ from docketry.functions import fixed_values as fixed
 from docketry.functions.text import strip
 from docketry.functions.vector import metric_name
 from docketry.plans import tables
+from docketry.plans.sizes import semi_or_anti
 from docketry.session import shared_dir, ship_package
 
 KEY = ["point_id"]
@@ -83,7 +84,11 @@ def append_points(existing: DataFrame | None, chunks: DataFrame,
         return to_points(assign_point_ids(chunks, order))
     top = existing.agg(F.max("point_id")).first()[0]
     offset = 0 if top is None else top + 1
-    known = chunks.join(existing.select("chunk_id", "point_id"), "chunk_id", "left")
+    # Only the index rows of these very chunks take part in the join.
+    mine = semi_or_anti(
+        existing.select("chunk_id", "point_id"), chunks, ["chunk_id"], "left_semi"
+    )
+    known = chunks.join(mine, "chunk_id", "left")
     new = known.where(F.col("point_id").isNull()).drop("point_id")
     old = known.where(F.col("point_id").isNotNull())
     return to_points(old.unionByName(assign_point_ids(new, order, offset)))
@@ -97,6 +102,8 @@ def write_vectors(spark: SparkSession, chunks: DataFrame, path: str,
     """
     existing = read_vectors(spark, path)
     batch = tables.next_batch(spark, path) if batch is None else batch
+    if removed is None and chunks.isEmpty():
+        return batch
     points = append_points(existing, chunks).withColumn("deleted", F.lit(False))
     if removed is not None:
         gone = removed.select("point_id", F.lit(True).alias("deleted"))
@@ -142,13 +149,16 @@ def index_stats(vectors: DataFrame, metric: str = "cosine") -> DataFrame:
 
 def _scores(queries: np.ndarray, vectors: np.ndarray, metric: str) -> np.ndarray:
     """Query-by-vector scores in double precision, kept as float32 like the vectors."""
+    if metric == "euclid":
+        # From the differences themselves: exact for near and equal vectors.
+        return np.stack(
+            [np.sqrt(np.square(vectors - q).sum(axis=1)) for q in queries]
+        ).astype(np.float32)
     products = queries @ vectors.T
     if metric == "dot":
         return products.astype(np.float32)
     q2 = np.einsum("ij,ij->i", queries, queries)[:, None]
     v2 = np.einsum("ij,ij->i", vectors, vectors)[None, :]
-    if metric == "euclid":
-        return np.sqrt(np.maximum(q2 + v2 - 2 * products, 0)).astype(np.float32)
     lengths = np.sqrt(q2) * np.sqrt(v2)
     return np.divide(
         products, lengths, out=np.zeros_like(products), where=lengths > 0

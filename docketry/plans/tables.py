@@ -46,6 +46,11 @@ def next_batch(spark: SparkSession, path: str) -> int:
     return max([-1, *batches(spark, path, "base"), *batches(spark, path, "delta")]) + 1
 
 
+def read_back(df: DataFrame, folder: str) -> DataFrame:
+    """What was written of ``df``; its schema is given, since no row may have been."""
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def write_batch(df: DataFrame, path: str, batch: int, kind: str | None = None,
                 partition_by: Sequence[str] = ()) -> str:
     """Write one batch and return its folder.  The first one becomes the base."""

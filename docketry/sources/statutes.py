@@ -30,6 +30,20 @@ def _own_text(elements: Iterator[ET.Element]) -> Iterator[str]:
                 yield part
 
 
+def _texts(element: ET.Element) -> Iterator[str]:
+    """All text inside an element in document order, without comments."""
+    waiting: list[ET.Element | str] = [element]
+    while waiting:
+        item = waiting.pop()
+        if isinstance(item, str):
+            yield item
+            continue
+        parts = [item.text]
+        for child in item:
+            parts += [child if isinstance(child.tag, str) else None, child.tail]
+        waiting.extend(p for p in reversed(parts) if p is not None)
+
+
 def _sections(xml: str, namespace: str | None) -> list[dict]:
     builder = ET.TreeBuilder(insert_comments=True, insert_pis=True)
     root = ET.fromstring(xml.encode("utf-8") if xml.startswith("<?xml") else xml,
@@ -57,7 +71,7 @@ def _sections(xml: str, namespace: str | None) -> list[dict]:
                     "path": list(path),
                     "heading": next(_own_text(titles), "").strip(),
                     "content": "\n".join(
-                        t.strip() for t in element.itertext() if t.strip(" \t\r\n")
+                        t.strip() for t in _texts(element) if t.strip(" \t\r\n")
                     ),
                 }
             )
