@@ -102,7 +102,7 @@ def write_vectors(spark: SparkSession, chunks: DataFrame, path: str,
     """
     existing = read_vectors(spark, path)
     batch = tables.next_batch(spark, path) if batch is None else batch
-    if removed is None and chunks.isEmpty():
+    if chunks.isEmpty() and (removed is None or removed.isEmpty()):
         return batch
     points = append_points(existing, chunks).withColumn("deleted", F.lit(False))
     if removed is not None:

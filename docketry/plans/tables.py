@@ -81,33 +81,43 @@ def read_current(spark: SparkSession, path: str, key: Sequence[str],
     """
     bases = batches(spark, path, "base")
     newest_base = bases[-1] if bases else -1
-    later = [b for b in batches(spark, path, "delta") if b > newest_base]
-
-    def folder(kind: str, batch: int, at: str = path) -> DataFrame:
-        # No base path: partition columns inside the folder are still found.
-        return spark.read.parquet(f"{at}/{kind}={batch}")
-
-    def union(at: str) -> DataFrame:
-        return reduce(
-            lambda a, b: a.unionByName(b, allowMissingColumns=True),
-            [folder("delta", b, at).withColumn("_batch", F.lit(b)) for b in later],
-        )
+    key = list(key)
 
-    base = folder("base", newest_base) if bases else None
+    def folders(at: str, *kinds: str) -> list[DataFrame]:
+        # Read one by one, without a base path: partition columns inside are still found.
+        return [
+            spark.read.parquet(f"{at}/{kind}={b}").withColumn("_batch", F.lit(b))
+            for kind in kinds
+            for b in batches(spark, at, kind)
+            if (b > newest_base or (at == path and kind == "base" and b == newest_base))
+            and _holds_data(spark, f"{at}/{kind}={b}")
+        ]
+
+    base, later = folders(path, "base"), folders(path, "delta")
+    live_base = base[0].where(~F.col("deleted")).drop("deleted", "_batch") if base else None
+    # After a crash the other table may have begun later, with a base of its own.
+    touched = folders(keys_in, "base", "delta") if keys_in else later
+    if not touched:
+        return live_base
+    latest = _union(touched).groupBy(*key).agg(F.max("_batch").alias("_batch"))
+    kept = semi_or_anti(live_base, latest, key, "left_anti") if base else None
     if not later:
-        return None if base is None else base.where(~F.col("deleted")).drop("deleted")
-    changes = union(path)
-    touched = changes if keys_in is None else union(keys_in)
-    key = list(key)
-    live = changes
-    if len(later) > 1:
-        latest = touched.groupBy(*key).agg(F.max("_batch").alias("_batch"))
-        live = semi_or_anti(changes, latest, [*key, "_batch"], "left_semi")
+        return kept
+    live = _union(later)
+    if len(touched) > 1:
+        live = semi_or_anti(live, latest, [*key, "_batch"], "left_semi")
     live = live.where(~F.col("deleted")).drop("deleted", "_batch")
-    if base is None:
-        return live
-    kept = semi_or_anti(base.where(~F.col("deleted")).drop("deleted"), touched, key, "left_anti")
-    return kept.unionByName(live, allowMissingColumns=True)
+    return live if kept is None else kept.unionByName(live, allowMissingColumns=True)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _holds_data(spark: SparkSession, folder: str) -> bool:
+    """False for a finished batch that had no row to write."""
+    fs, p = _fs(spark, folder)
+    return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
 def compact(spark: SparkSession, path: str, key: Sequence[str],
