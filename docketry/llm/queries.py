@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import chat, exact_dedup, near_dedup, packing, secrets, simhash, toxicity
+from docketry.llm import chat, exact_dedup, near_dedup, packing, quality, secrets, simhash, toxicity
 from docketry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_quality(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op2_secrets(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
