@@ -26,7 +26,9 @@ shuffled.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -50,7 +52,7 @@ NOTHING = -6.0
 class Settings:
     bits: int = 18
     stem_bits: int = 18
-    stem_chars: tuple[int, ...] = (3, 4, 5, 6)
+    stem_chars: tuple[int, ...] = (4, 6)
     floor: float = 3.0  # prior counts of a token at least
     strength: float = 2_000.0  # prior counts shared out as the corpus has the tokens
     stem_weight: float = 0.8
@@ -84,25 +86,39 @@ class _Scores(dict):
     def __init__(self, model: Model):
         super().__init__()
         self.m = model
-        self.words = word_buckets(model.settings.bits)
-        self.stems = word_buckets(model.settings.stem_bits)
+        self.mask = (1 << model.settings.bits) - 1
+        self.stem_mask = (1 << model.settings.stem_bits) - 1
 
-    def __missing__(self, word: str) -> float:
-        if len(self) >= CACHE_WORDS:
+    def learn(self, words: set[bytes]) -> None:
+        """Work out the scores of ``words``, all at once."""
+        if len(self) + len(words) > CACHE_WORDS:
             self.clear()
-        m, s = self.m, self.m.settings
-        w = self.words[word]
-        lift = 1.0
+        m, s, new = self.m, self.m.settings, list(words)
+        lift = np.ones(len(new))
         for n in s.stem_chars:
-            if n < len(word):
-                b = self.stems[word[:n]]
-                lift = math.exp(s.stem_weight * float(_odds(m.stem_tox[b], m.stem_clean[b], m.stem_alpha[b], lift, m.share, s)))
-        value = self[word] = float(_odds(m.tox[w], m.clean[w], m.alpha[w], lift, m.share, s)) - s.drift
-        return value
-
-    def of(self, text: str) -> np.ndarray:
-        words = words_of(text)
-        return np.fromiter(map(self.__getitem__, words), np.float64, len(words))
+            longer = np.array([len(w) > n for w in new], bool)
+            b = np.fromiter((zlib.crc32(w[:n]) & self.stem_mask for w in new), np.int64, len(new))
+            odds = _odds(m.stem_tox[b], m.stem_clean[b], m.stem_alpha[b], lift, m.share, s)
+            lift = np.where(longer, np.exp(s.stem_weight * odds), lift)
+        w = np.fromiter((zlib.crc32(x) & self.mask for x in new), np.int64, len(new))
+        self.update(zip(new, (_odds(m.tox[w], m.clean[w], m.alpha[w], lift, m.share, s) - s.drift).tolist()))
+
+    def of(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The scores of each text's words; some texts at a time are looked up together."""
+        held: list[list[bytes]] = []
+        size = 0
+        for text in texts:
+            held.append(words_of(text))
+            size += len(held[-1])
+            if size > 50_000:
+                yield from self._scores(held)
+                held, size = [], 0
+        yield from self._scores(held)
+
+    def _scores(self, held: list[list[bytes]]) -> Iterator[np.ndarray]:
+        self.learn({w for words in held for w in words if w not in self})
+        for words in held:
+            yield np.fromiter(map(self.__getitem__, words), np.float64, len(words))
 
 
 def _odds(tox, clean, alpha, lift, share, s: Settings):
@@ -241,8 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         scores = _Scores(model)
         for batch in batches:
             out = []
-            for text in texts(batch):
-                values = scores.of(text)
+            for values in scores.of(texts(batch)):
                 out.append((len(values), sorted((x[2] for x in segments(values)), reverse=True)[:BEST]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("y"), batch.column("w"), pa.array([n for n, _ in out], pa.int64()),
@@ -265,12 +280,12 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     return replace(model, weights=tuple(fit_logistic(x, y, rows["w"].to_numpy(float))))
 
 
-def _judge(text: str, m: Model, scores: _Scores) -> tuple[float, list[tuple[int, int, float]], int]:
-    values = scores.of(text)
+def _judge(values: np.ndarray, m: Model) -> tuple[float, list[tuple[int, int, float]]]:
+    """Probability and segments of a text from its words' scores."""
     found = segments(values)
     best = sorted((x[2] for x in found), reverse=True)[:BEST]
     seen = _evidence(best, len(values), m.lam, m.log_k)
-    return float(logistic(np.dot(m.weights[:-1], seen) + m.weights[-1])), found, len(values)
+    return float(logistic(np.dot(m.weights[:-1], seen) + m.weights[-1])), found
 
 
 def score(docs: DataFrame, model: Model, passages: bool = False) -> DataFrame:
@@ -285,16 +300,16 @@ def score(docs: DataFrame, model: Model, passages: bool = False) -> DataFrame:
         known = _Scores(model)
         for batch in batches:
             scores, kept = [], []
-            for text in texts(batch):
-                p, found, n = _judge(text, model, known)
+            for text, values in zip(texts(batch), known.of(texts(batch))):
+                p, found = _judge(values, model)
                 scores.append(p)
                 if passages:
+                    n = len(values)
                     good = [(a, b, v, n * math.exp(min(model.log_k - model.lam * v, 50))) for a, b, v in found]
                     good = [g for g in good if g[3] <= model.settings.e_value]
                     at = word_spans(text) if good else []
                     kept.append([
-                        {"start": at[a][0], "end": at[min(b, len(at)) - 1][1], "score": v, "e_value": e}
-                        for a, b, v, e in good if a < len(at)
+                        {"start": int(at[a][0]), "end": int(at[b - 1][1]), "score": v, "e_value": e} for a, b, v, e in good
                     ])
             columns = [batch.column("doc_id"), pa.array(scores, pa.float64())]
             names = ["doc_id", "score"]
@@ -315,7 +330,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     def run(batches):
         known = _Scores(model)
         for batch in batches:
-            yield batch.filter(pa.array([_judge(t, model, known)[0] < threshold for t in texts(batch)], pa.bool_()))
+            yield batch.filter(pa.array([_judge(v, model)[0] < threshold for v in known.of(texts(batch))], pa.bool_()))
 
     return map_arrow(docs, run, docs.schema)
 
