@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import chat, exact_dedup, near_dedup, packing, quality, secrets, simhash, toxicity
+from docketry.llm import chat, exact_dedup, near_dedup, packing, quality, secrets, sentence_spans, sentencepiece, simhash, toxicity
 from docketry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,13 @@ def op2_secrets(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_sentencepiece(spark, sf_dir):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = sentencepiece.decode(sentencepiece.encode(table(spark, sf_dir, "documents"), model), model)
+    return decoded.select("doc_id", F.size("ids").alias("n_ids"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 @query
 def op4_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), near_dedup.Rule(words=4, percent=80))
@@ -58,6 +65,11 @@ def op7_chat(spark, sf_dir):
     return chat.digest(chat.format_conversations(turns.unionByName(planted), tokenizer), tokenizer)
 
 
+@query
+def op8_sentence_spans(spark, sf_dir):
+    return sentence_spans.drop_repeated_spans(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_simhash(spark, sf_dir):
     return simhash.edited(table(spark, sf_dir, "documents"))
