@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docketry.llm.common import CACHE_WORDS, map_arrow, stage
+from docketry.llm.common import map_arrow, stage
 
 LENGTH = 4096
 END_ID = 2
 DIMS, BITS = 3, 16
 SEED = 9
+#: Words a worker remembers.
+CACHE = 800_000
 
 
 def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -64,24 +66,51 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
+_MARKS = b".,!?;:"
+_PROBES = ("Straightforward", "HELLO,", "thorer.", "Zxqvwy!", "a?", "I;", "Antidisestablishment:")
+
+
 class _WordIds(dict):
     """Ids of words between white space, as bytes of 16- or 32-bit numbers, remembered up to a bound.
 
-    White space always ends a token of the tokenizers meant here, which drop it.
+    White space always ends a token of the tokenizers meant here, which drop it.  Where
+    a tokenizer also folds case and keeps letters apart from marks, which a few
+    probes tell, ASCII words are put together from their letters' ids.
     """
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.folds = all(self._plain(w) == self._plain(w.lower()) == self._letters(w) for w in _PROBES)
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
 
+    def _plain(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _letters(self, word: str) -> list[int]:
+        head = word.rstrip(_MARKS.decode()).lower()
+        parts = [head, *word[len(head) :]]
+        return [t.id for part in parts for t in self.tokenizer.model.tokenize(part)]
+
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= CACHE:
             self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        value = self[word] = array(self.code, ids).tobytes()
-        return value
+        self[word] = ids = self._encode(word)
+        return ids
+
+    def _encode(self, word: bytes) -> bytes:
+        if self.folds and b"<|" not in word:
+            small = word.lower()
+            if small != word:
+                return self[small]
+            # A letter and a mark after it are never in one token, nor are letters split before merging.
+            if word[-1:] in _MARKS and word[:-1].isalpha():
+                return self[word[:-1]] + self[word[-1:]]
+            if word.isalpha():
+                return array(self.code, [t.id for t in self.tokenizer.model.tokenize(word.decode())]).tobytes()
+        encoded = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False)
+        return array(self.code, encoded.ids).tobytes()
 
     def of(self, text: bytes) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.__getitem__, text.split())), self.code)
@@ -100,7 +129,8 @@ def tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
         for batch in batches:
             counts, points, out = [], [], []
             column = batch.column("text")
-            for value in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()):
+            column = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+            for value in column:
                 ids = words.of(value.as_py() or b"")
                 points.append(directions[ids].mean(axis=0) if len(ids) else np.zeros(DIMS, np.float32))
                 counts.append(len(ids) + 1)
