@@ -16,8 +16,11 @@ No pairs inside a group
     Equal sets collapse to one node first.  In a bucket, members are first checked
     against its smallest member only.  What that connects needs no more checks; only
     members of a bucket that are still in different components are then compared
-    with each other, after size and signature filters that cannot lose a link.  A group
-    of n copies costs n checks, and nothing is capped.
+    with each other.  Before that, shingles of all such members are counted once: a set can
+    have links only within the shingles it shares, which rules out most members alone
+    and most pairs unseen.  That filter and the one on sizes are exact; those on the
+    signature and on a longer one of single bits pass a similarity of 0.8 but for a chance
+    of 1e-8.  A group of n copies costs n checks, and nothing is capped.
 
 The work tables lie below the shared folder.  Texts are moved only for candidates.
 """
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +50,13 @@ PLANES = 4
 #: Differing symbols the filter lets through: more happens to a pair of similarity 0.8 once in 1e8.
 MAX_DIFFER = 27
 SEED = 20_240_501
+#: One-bit symbols of the longer signature that open members get, in 64-bit words, and how
+#: many may differ: more happens to a pair of similarity 0.8 twice in 1e9.
+FINE_WORDS, FINE_DIFFER = 16, 160
+#: Turns of checks against single members before the rest is compared in full.
+ROUNDS = 2
+FINE_NAMES = tuple(f"q{i}" for i in range(FINE_WORDS))
+PLANE_NAMES = tuple(f"p{i}" for i in range(PLANES))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,21 +103,33 @@ def shingle_set(text: bytes, words: int) -> np.ndarray:
     return np.unique(_mix(rolled))
 
 
-def _multipliers() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(SEED)
-    return (rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1), rng.integers(
-        0, 1 << 63, SYMBOLS, dtype=np.uint64
-    )
+@cache
+def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(SEED + n)
+    times = rng.integers(0, 1 << 63, n, dtype=np.uint64) << np.uint64(1)
+    return times | np.uint64(1), rng.integers(0, 1 << 63, n, dtype=np.uint64)
+
+
+def _least(hashes: np.ndarray, n: int) -> np.ndarray:
+    """The set's smallest value under each of ``n`` hash functions, mixed."""
+    times, plus = _multipliers(n)
+    least = np.full(n, np.uint64(0xFFFFFFFFFFFFFFFF))
+    step = max(1, (1 << 18) // n)
+    for at in range(0, len(hashes), step):
+        block = (hashes[at : at + step, None] ^ plus) * times
+        least = np.minimum(least, block.min(axis=0))
+    return _mix(least)
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
     """The MinHash symbols of a set, 16 bits each."""
-    times, plus = _multipliers()
-    least = np.full(SYMBOLS, np.uint64(0xFFFFFFFFFFFFFFFF))
-    for at in range(0, len(hashes), 4096):
-        block = (hashes[at : at + 4096, None] ^ plus) * times
-        least = np.minimum(least, block.min(axis=0))
-    return (_mix(least) & np.uint64(0xFFFF)).astype(np.int32)
+    return (_least(hashes, SYMBOLS) & np.uint64(0xFFFF)).astype(np.int32)
+
+
+def fine_signature(hashes: np.ndarray) -> np.ndarray:
+    """``64 * FINE_WORDS`` symbols of one bit each, packed."""
+    bits = (_least(hashes, 64 * FINE_WORDS) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits).view(np.int64)
 
 
 def _field(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -144,7 +167,7 @@ def sketch(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
                     pa.ListArray.from_arrays(np.arange(0, sig.size + 1, SYMBOLS, dtype=np.int32), pa.array(sig.ravel())),
                     *(pa.array(p) for p in planes),
                 ],
-                names=["row", "doc", "n", "digest", "sig", *(f"p{i}" for i in range(PLANES))],
+                names=["row", "doc", "n", "digest", "sig", *PLANE_NAMES],
             )
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
@@ -152,7 +175,7 @@ def sketch(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         [
             T.StructField("row", T.LongType()), rows.schema["doc"], T.StructField("n", T.LongType()),
             T.StructField("digest", T.BinaryType()), T.StructField("sig", T.ArrayType(T.IntegerType())),
-            *(T.StructField(f"p{i}", T.LongType()) for i in range(PLANES)),
+            *(T.StructField(p, T.LongType()) for p in PLANE_NAMES),
         ]
     )
     return stage(map_arrow(rows, run, schema), "near-sketch")
@@ -178,7 +201,7 @@ def _may_link(percent: int, a: str = "a", b: str = "b") -> Column:
 
 
 def _named(nodes: DataFrame, prefix: str, *more: str) -> DataFrame:
-    kept = ["node", "n", *(f"p{i}" for i in range(PLANES)), *more]
+    kept = ["node", "n", *PLANE_NAMES, *more]
     return nodes.select(*(F.col(c).alias(prefix if c == "node" else f"{prefix}_{c}") for c in kept))
 
 
@@ -215,10 +238,72 @@ def _confirm(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     return stage(map_arrow(joined.select("a", "b", "ta", "tb"), run, "a bigint, b bigint"), "near-links")
 
 
-def _texts_for(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def _texts_of(ids: DataFrame, sketches: DataFrame) -> DataFrame:
     texts = sketches.select(F.col("row").alias("node"), F.col("doc.text").alias("text"))
-    return stage(semi_or_anti(texts, stage(ids, "near-ids"), ["node"], "left_semi"), "near-texts")
+    return stage(semi_or_anti(texts, stage(ids.distinct(), "near-ids"), ["node"], "left_semi"), "near-texts")
+
+
+def _mixed(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """``rows(key, node, ...)`` of buckets with several components: with ``part``, and the bucket's largest, ``main``."""
+    placed = rows.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    tally = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"))
+    mains = tally.groupBy("key").agg(
+        F.max_by("part", F.struct("size", "part")).alias("main"), F.count(F.lit(1)).alias("parts")
+    )
+    mains = stage(mains.where("parts > 1").select("key", "main"), "near-mains")
+    return stage(placed.join(mains, "key"), "near-mixed")
+
+
+def _shared(open_nodes: DataFrame, nodes: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
+    """Rows of ``nodes`` that may still be linked, with ``shared``: shingles that another open node has, too.
+
+    A set's links can only lie within the shingles it shares, so a node that shares too
+    few is linked with no open node.  Shingles are counted once over all open nodes; those
+    of a single node are its own.
+    """
+    texts = sketches.select(F.col("row").alias("node"), F.col("doc.text").alias("text"))
+    wanted = stage(open_nodes, "near-open-nodes")
+    texts = semi_or_anti(texts, wanted, ["node"], "left_semi")
+    words = rule.words
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                sets = [shingle_set(v.as_py() or b"", words).view(np.int64) for v in _bytes(part.column("text"))]
+                ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node"), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))], names=["node", "all"]
+                )
+
+    each = map_arrow(texts, run, "node bigint, all array<bigint>").select("node", F.explode("all").alias("shingle"))
+    own = each.groupBy("shingle").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("nodes")).where("nodes = 1")
+    own = own.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    found = nodes.drop("sig", "digest").join(wanted, "node").join(own, "node", "left")
+    found = found.withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+    return stage(found.where(100 * F.col("shared") >= rule.percent * F.col("n")), "near-shared")
+
+
+def _fine(texts: DataFrame, rule: Rule) -> DataFrame:
+    """``(node, q0, ...)``: the longer signatures of ``texts(node, text)``."""
+    words = rule.words
+
+    def run(batches):
+        for batch in batches:
+            made = [fine_signature(shingle_set(v.as_py() or b"", words)) for v in _bytes(batch.column("text"))]
+            table = np.array(made, np.int64).reshape(-1, FINE_WORDS)
+            columns = [pa.array(np.ascontiguousarray(table[:, i])) for i in range(FINE_WORDS)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *columns], names=["node", *FINE_NAMES])
+
+    return map_arrow(texts, run, "node bigint, " + ", ".join(f"{q} bigint" for q in FINE_NAMES))
+
+
+def _may_still(percent: int, a: str = "a", b: str = "b") -> Column:
+    """``_may_link`` for open members: by shared shingles and the longer signature as well."""
+    most = F.least(f"{a}_shared", f"{b}_shared")
+    enough = 100 * most >= percent * (F.col(f"{a}_n") + F.col(f"{b}_n") - most)
+    differ = sum((F.bit_count(F.col(f"{a}_{q}").bitwiseXOR(F.col(f"{b}_{q}"))) for q in FINE_NAMES), F.lit(0))
+    return _may_link(percent, a, b) & enough & (differ <= FINE_DIFFER)
 
 
 def _across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -235,10 +320,10 @@ def links(sketches: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFram
     A node is the smallest row number of an equal set.
     """
     filled = sketches.where("n > 0")
-    best = F.struct("row", "sig", *(f"p{i}" for i in range(PLANES)))
+    best = F.struct("row", "sig", *PLANE_NAMES)
     nodes = stage(
         filled.groupBy("n", "digest").agg(F.min_by(best, "row").alias("best"))
-        .select(F.col("best.row").alias("node"), "n", "digest", "best.sig", *(f"best.p{i}" for i in range(PLANES))),
+        .select(F.col("best.row").alias("node"), "n", "digest", "best.sig", *(f"best.{p}" for p in PLANE_NAMES)),
         "near-nodes",
     )
     keys = nodes.select("node", _keys().alias("key"))
@@ -256,7 +341,8 @@ def links(sketches: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFram
         star.join(_named(nodes, "a"), "a").join(_named(nodes, "b"), "b").where(_may_link(rule.percent)).select("a", "b", "hits"),
         "near-star",
     )
-    texts = _texts_for(star, sketches)
+    ends = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node")))
+    texts = _texts_of(ends, sketches)
     # First each member against the one centre it shares most with; then what is still apart.
     first = star.groupBy("b").agg(F.max_by("a", F.struct("hits", -F.col("a"))).alias("a"))
     linked = _confirm(first.select("a", "b"), texts, rule)
@@ -265,31 +351,37 @@ def links(sketches: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFram
     linked = linked.unionByName(_confirm(rest, texts, rule))
     parts = stage(components(linked), "near-parts")
 
-    # Members of one bucket in different components, each of the smaller ones against all.
-    placed = (
-        members.select("key", "node").join(parts, "node", "left")
-        .select("key", "node", F.coalesce("component", "node").alias("part"))
-    )
-    tally = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"))
-    mixed = stage(
-        tally.groupBy("key").agg(F.max_by("part", F.struct("size", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1").select("key", "main"),
-        "near-mixed",
-    )
-    open_ = stage(
-        placed.join(mixed, "key").join(nodes.drop("sig", "digest"), "node"), "near-open"
-    )
-    few = _named(open_.where("part != main"), "a", "key", "part")
-    all_ = _named(open_, "b", "key", "part", "main")
+    # Buckets that hold several components, and in them the nodes that may still be linked.
+    rows = _mixed(members.select("key", "node"), parts)
+    shared = _shared(rows.select("node").distinct(), nodes, sketches, rule)
+    texts = _texts_of(shared.select("node"), sketches)
+    shared = stage(shared.join(_fine(texts, rule), "node"), "near-fine")
+    rows = stage(rows.select("key", "node").join(shared, "node"), "near-open")
+    for turn in range(ROUNDS):
+        # Each outsider of a bucket against one member of its largest component, another one each turn.
+        open_ = _mixed(rows, parts)
+        inner = F.struct(*(F.col(c) for c in ("node", "n", "shared", *PLANE_NAMES, *FINE_NAMES)))
+        centres = open_.where("part = main").groupBy("key").agg(
+            F.min_by(inner, F.xxhash64("node", "key", F.lit(turn))).alias("c")
+        )
+        pairs = _named(open_.where("part != main"), "a", "shared", *FINE_NAMES, "key").join(
+            _named(centres.select("key", "c.*"), "b", "shared", *FINE_NAMES, "key"), F.col("a_key") == F.col("b_key")
+        )
+        pairs = pairs.where(_may_still(rule.percent)).select("a", "b").distinct()
+        linked = linked.unionByName(_confirm(pairs, texts, rule))
+        parts = stage(components(linked), "near-parts")
+
+    # What is left: each member of the smaller components of a bucket against all of the others.
+    open_ = _mixed(rows, parts)
+    few = _named(open_.where("part != main"), "a", "shared", *FINE_NAMES, "key", "part")
+    all_ = _named(open_, "b", "shared", *FINE_NAMES, "key", "part", "main")
     pairs = (
         few.join(all_, F.col("a_key") == F.col("b_key"))
         .where((F.col("a_part") != F.col("b_part")) & ((F.col("b_part") == F.col("b_main")) | (F.col("a") < F.col("b"))))
-        .where(_may_link(rule.percent))
+        .where(_may_still(rule.percent))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
-    # The stars are already checked.
-    pairs = stage(pairs.join(star.select("a", "b"), ["a", "b"], "left_anti"), "near-pairs")
-    linked = linked.unionByName(_confirm(pairs, _texts_for(pairs, sketches), rule))
+    linked = linked.unionByName(_confirm(stage(pairs, "near-pairs"), texts, rule))
     parts = stage(components(linked), "near-parts")
     rows = filled.select("row", "n", "digest").join(nodes.select("n", "digest", "node"), ["n", "digest"]).select("row", "node")
     return rows, parts
