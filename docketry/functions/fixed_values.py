@@ -99,8 +99,6 @@ BM25_EPSILON = 0.25
 TOP_K = 10
 EMBED_BATCH = 8
 FILE_BATCH = 50
-MAX_PENDING_FILES = 1000
-RESET_SCAN_LIMIT = 2000
 FILE_EXTENSIONS = (".pdf",)
 SOURCE_TAG = "azure_blob"
 METHOD_FULL = "azure_batch_stream"

@@ -24,6 +24,8 @@ from docketry.session import shared_dir, ship_package
 KEY = ["point_id"]
 QUERY_BYTES = 32 * 1024 * 1024
 TILE_ROWS = 20_000
+#: Numbers in one block of scores of queries against vectors: 32 MB of doubles.
+BLOCK_SCORES = 4_000_000
 _HITS = "query_id {q}, point_id {p}, score float"
 
 
@@ -117,9 +119,13 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def upsert_vectors(spark: SparkSession, points: DataFrame, path: str) -> int:
-    """Put points in by id: one row or many."""
+    """Put points in by id: one row or many.  Of rows that repeat an id the last one wins."""
     batch = tables.next_batch(spark, path)
-    tables.write_batch(to_points(points), path, batch)
+    rows = to_points(points)
+    rest = [c for c in rows.columns if c not in KEY]
+    rows = rows.withColumn("_place", F.monotonically_increasing_id())
+    last = F.max_by(F.struct(*rest), "_place").alias("_row")
+    tables.write_batch(rows.groupBy(*KEY).agg(last).select(*KEY, "_row.*"), path, batch)
     return batch
 
 
@@ -175,6 +181,13 @@ class _Best:
         self.scores: list[np.ndarray | None] = [None] * len(query_ids)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """Take vectors in, in blocks and for so many queries that a block of scores stays small."""
+        width = max(1, vectors.shape[1]) if self.metric == "euclid" else 1
+        step = max(1, BLOCK_SCORES // (max(1, len(self.queries)) * width))
+        for at in range(0, len(ids), step):
+            self._add(ids[at:at + step], vectors[at:at + step])
+
+    def _add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         for row, scores in enumerate(_scores(self.queries, vectors, self.metric)):
             cost = self.sign * scores
             if len(cost) > self.k:

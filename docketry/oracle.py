@@ -248,7 +248,6 @@ INGESTED = """
   count(*) AS files_marked, true AS ids_without_gaps, count(*) AS sources_indexed FROM documents"""
 # The default limit of the limited ingest and the scan limit of the reset tool.
 PENDING = 500
-SCAN = 2000
 
 JSON_CITES = """
  cite_json AS (
@@ -289,6 +288,8 @@ ORACLE: dict[str, str] = {
  SELECT file_name, size_bytes, round(size_bytes / 1048576.0::DOUBLE, 6) AS size_mb,
   strftime(last_modified, '%Y-%m-%d %H:%M:%S') AS last_modified, ingested FROM flagged""",
     "pending_files": f"""WITH {LISTING}
+ SELECT file_name FROM flagged WHERE NOT ingested AND file_name LIKE '%.pdf'""",
+    "pending_files_first": f"""WITH {LISTING}
  SELECT file_name FROM flagged WHERE NOT ingested AND file_name LIKE '%.pdf' ORDER BY file_name LIMIT {PENDING}""",
     "route_by_suffix": f"""WITH {LISTING}
  SELECT file_name, CASE WHEN lang IN ('en', 'fr') THEN NULL WHEN lang = 'de' THEN 'Unsupported file type: '
@@ -324,9 +325,8 @@ ORACLE: dict[str, str] = {
     "ledger_state": f"""WITH {EVENT_LOG}
  SELECT file_name, ingested, strftime(ingested_at, '%Y-%m-%d %H:%M:%S.%f') AS ingested_at,
   strftime(reset_at, '%Y-%m-%d %H:%M:%S.%f') AS reset_at FROM state""",
-    "reset_ingested": f"""WITH {LISTING}, {EVENT_LOG},
- scanned AS (SELECT file_name FROM listing ORDER BY file_name LIMIT {SCAN})
- SELECT file_name, false AS ingested FROM scanned
+    "reset_ingested": f"""WITH {LISTING}, {EVENT_LOG}
+ SELECT file_name, false AS ingested FROM listing
  WHERE file_name LIKE '%.pdf' AND file_name IN (SELECT file_name FROM state WHERE ingested)""",
     "case_metadata": f"""WITH {OPINIONS}, {METADATA}
  SELECT doc_id, court_name, docket_number, case_date, case_name, disposition,

@@ -76,10 +76,14 @@ def read_current(spark: SparkSession, path: str, key: Sequence[str],
     The base is not shuffled: only the keys that later batches touch are
     removed from it.  Each later batch is likewise reduced by the ones after it
     through one narrow aggregate of keys.  ``keys_in`` names a table written in
-    the same batches that lists each key once; where this table has many rows
-    per key, it is the cheaper place to look for them.
+    the same batches, after this one, that lists each key once; where this table has
+    many rows per key, it is the cheaper place to look for them.  Batches that it has
+    not finished are not read.
     """
-    bases = batches(spark, path, "base")
+    finished = None
+    if keys_in is not None:
+        finished = {b for kind in ("base", "delta") for b in batches(spark, keys_in, kind)}
+    bases = [b for b in batches(spark, path, "base") if finished is None or b in finished]
     newest_base = bases[-1] if bases else -1
     key = list(key)
 
@@ -90,6 +94,7 @@ def read_current(spark: SparkSession, path: str, key: Sequence[str],
             for kind in kinds
             for b in batches(spark, at, kind)
             if (b > newest_base or (at == path and kind == "base" and b == newest_base))
+            and (finished is None or b in finished)
             and _holds_data(spark, f"{at}/{kind}={b}")
         ]
 
@@ -121,11 +126,15 @@ def _holds_data(spark: SparkSession, folder: str) -> bool:
 
 
 def compact(spark: SparkSession, path: str, key: Sequence[str],
-            partition_by: Sequence[str] = ()) -> None:
-    """Write the current rows as a new base; readers then skip older batches."""
-    done = batches(spark, path, "delta")
-    if done:
-        current = read_current(spark, path, key)
+            partition_by: Sequence[str] = (), keys_in: str | None = None) -> None:
+    """Write the current rows as a new base; readers then skip older batches.
+
+    ``keys_in`` as for ``read_current``.  Tables written in the same batches are
+    compacted in the order they are written, each to the same last batch.
+    """
+    done = batches(spark, keys_in or path, "delta")
+    if done and done[-1] not in batches(spark, path, "base"):
+        current = read_current(spark, path, key, keys_in)
         write_batch(current, path, done[-1], "base", partition_by)
 
 

@@ -79,7 +79,14 @@ def discover_detailed(spark, sf_dir):
 
 @query
 def pending_files(spark, sf_dir):
-    """The first 500 pending files by name: the default of the limited ingest."""
+    return ledger.pending_files(
+        views.listing(spark, sf_dir), views.label_state(spark, sf_dir)
+    ).select("file_name")
+
+
+@query
+def pending_files_first(spark, sf_dir):
+    """The limited ingest: the first 500 pending files by name."""
     return ledger.pending_files(
         views.listing(spark, sf_dir), views.label_state(spark, sf_dir), 500
     ).select("file_name")
@@ -199,7 +206,7 @@ def ledger_state(spark, sf_dir):
 
 @query
 def reset_ingested(spark, sf_dir):
-    """Files the reset tool turns back among the first 2000 scanned: its own limit."""
+    """Files the reset tool turns back."""
     state = ledger.ledger_state(views.ledger_events(spark, sf_dir))
     return ledger.reset_events(views.listing(spark, sf_dir), state).select("file_name", "ingested")
 

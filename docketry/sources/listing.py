@@ -7,7 +7,7 @@ folders, each of which becomes a partition.
 
 from __future__ import annotations
 
-import fnmatch
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,6 +26,7 @@ _ARROW = pa.schema(
     ]
 )
 _BATCH = 10_000
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 def open_filesystem(root: str) -> tuple[pafs.FileSystem, str]:
@@ -34,10 +35,39 @@ def open_filesystem(root: str) -> tuple[pafs.FileSystem, str]:
         return pafs.LocalFileSystem(), root.rstrip("/")
     if root.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + root[len("file:"):].strip("/")
-    system, path = pafs.FileSystem.from_uri(root)
+    scheme, rest = root.split("://", 1)
+    # Hadoop's names of the same stores.
+    system, path = pafs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{rest}")
     return system, path.rstrip("/")
 
 
+def glob_pattern(glob: str) -> re.Pattern:
+    """A file name glob as Hadoop reads it: ``*``, ``?``, ``[a-z]``, ``[^a]`` and ``{a,b}``."""
+    out, depth, i = "", 0, 0
+    while i < len(glob):
+        c = glob[i]
+        if c == "\\" and i + 1 < len(glob):
+            i += 1
+            out += re.escape(glob[i])
+        elif c == "[" and "]" in glob[i + 2:]:
+            end = glob.index("]", i + 2)
+            inside = glob[i + 1:end]
+            out += "[" + ("^" + inside[1:] if inside[0] in "^!" else inside).replace("\\", "\\\\") + "]"
+            i = end
+        elif c == "{":
+            out, depth = out + "(?:", depth + 1
+        elif c == "}" and depth:
+            out, depth = out + ")", depth - 1
+        elif c == "," and depth:
+            out += "|"
+        else:
+            out += {"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c))
+        i += 1
+    if depth:
+        raise ValueError(f"unclosed group in {glob!r}")
+    return re.compile(out)
+
+
 class _Folder(InputPartition):
     def __init__(self, path: str, recurse: bool):
         self.path, self.recurse = path, recurse
@@ -46,7 +76,8 @@ class _Folder(InputPartition):
 class _ListingReader(DataSourceReader):
     def __init__(self, options: dict):
         self.root = options["path"]
-        self.pattern = options.get("pathglobfilter") or options.get("pathGlobFilter")
+        glob = options.get("pathglobfilter") or options.get("pathGlobFilter")
+        self.pattern = glob_pattern(glob) if glob else None
 
     def partitions(self) -> list[_Folder]:
         system, path = open_filesystem(self.root)
@@ -62,7 +93,7 @@ class _ListingReader(DataSourceReader):
                 if info.type == pafs.FileType.Directory:
                     if partition.recurse:
                         waiting.append(info.path)
-                elif self.pattern is None or fnmatch.fnmatchcase(info.base_name, self.pattern):
+                elif self.pattern is None or self.pattern.fullmatch(info.base_name):
                     rows.append((info.path[len(path) + 1:], info.size or 0, info.mtime))
                     if len(rows) == _BATCH:
                         yield _batch(rows)

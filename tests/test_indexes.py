@@ -70,26 +70,79 @@ def test_stored_lexical_index_appends_replaces_and_removes(spark):
     assert lexical.load_lexical_index(spark, path) is None
     assert lexical.lexical_index_stats(None, spark).first()["index_exists"] is False
     lexical.build_lexical_index(spark, chunks(spark, TEXTS), path, buckets=4)
-    check_lexical(lexical.load_lexical_index(spark, path, 4), spark, TEXTS)
+    check_lexical(lexical.load_lexical_index(spark, path), spark, TEXTS)
     # A new chunk, a changed one, and one that loses all its words.
     second = {"f": "a court of appeal", "a": "claim claim", "e": "..."}
     lexical.build_lexical_index(spark, chunks(spark, second), path, buckets=4)
     now = {**TEXTS, **second}
-    check_lexical(lexical.load_lexical_index(spark, path, 4), spark, now)
+    check_lexical(lexical.load_lexical_index(spark, path), spark, now)
     # Once more with nothing new: the same again.
     lexical.build_lexical_index(spark, chunks(spark, second), path, buckets=4)
-    check_lexical(lexical.load_lexical_index(spark, path, 4), spark, now)
+    check_lexical(lexical.load_lexical_index(spark, path), spark, now)
     removed = chunks(spark, {"b": ""}).select("chunk_id")
     lexical.build_lexical_index(spark, chunks(spark, {"g": "the claim"}), path, buckets=4, removed=removed)
     now["g"] = "the claim"
     del now["b"]
-    check_lexical(lexical.load_lexical_index(spark, path, 4), spark, now)
+    check_lexical(lexical.load_lexical_index(spark, path), spark, now)
+
+
+def stop_after(monkeypatch, name):
+    """Make the write of one of the index's tables the last thing a build does."""
+    write = lexical.tables.write_batch
+
+    def stopping(df, path, *args, **kwargs):
+        folder = write(df, path, *args, **kwargs)
+        if path.endswith(name):
+            raise RuntimeError("stopped")
+        return folder
+
+    monkeypatch.setattr(lexical.tables, "write_batch", stopping)
+
+
+@pytest.mark.parametrize("name", ["postings", "doc_len"])
+def test_a_build_that_stopped_and_runs_again_equals_a_fresh_one(spark, monkeypatch, name):
+    path = new_work_dir(spark, "lex")
+    first = dict(list(TEXTS.items())[:3])
+    second = {"a": "quite new words", "z": "the claim again"}
+    lexical.build_lexical_index(spark, chunks(spark, first), path, 0)
+    with monkeypatch.context() as patched:
+        stop_after(patched, name)
+        with pytest.raises(RuntimeError):
+            lexical.build_lexical_index(spark, chunks(spark, second), path, 1)
+    if name == "postings":
+        # Half a batch is not seen.
+        check_lexical(lexical.load_lexical_index(spark, path), spark, first)
+    lexical.build_lexical_index(spark, chunks(spark, second), path, 1)
+    check_lexical(lexical.load_lexical_index(spark, path), spark, {**first, **second})
+
+
+def test_compaction_loses_nothing(spark, monkeypatch):
+    path = new_work_dir(spark, "lex")
+    lexical.build_lexical_index(spark, chunks(spark, TEXTS), path)
+    more = {"z": "the claim again", next(iter(TEXTS)): "changed"}
+    lexical.build_lexical_index(spark, chunks(spark, more), path)
+    with monkeypatch.context() as patched:
+        stop_after(patched, "postings")
+        with pytest.raises(RuntimeError):
+            lexical.compact_index(spark, path)
+    check_lexical(lexical.load_lexical_index(spark, path), spark, {**TEXTS, **more})
+    lexical.compact_index(spark, path)
+    check_lexical(lexical.load_lexical_index(spark, path), spark, {**TEXTS, **more})
+
+
+def test_the_last_of_repeated_ids_wins(spark):
+    path = new_work_dir(spark, "vec")
+    rows = [(1, [1.0], "a", "old"), (1, [2.0], "a", "mid"), (2, [3.0], "b", "b"), (1, [4.0], "a", "new")]
+    points = spark.createDataFrame(rows, "point_id long, vector array<float>, chunk_id string, content string").coalesce(1)
+    vectors.upsert_vectors(spark, points, path)
+    got = vectors.read_vectors(spark, path).orderBy("point_id").collect()
+    assert [(r["point_id"], r["content"]) for r in got] == [(1, "new"), (2, "b")]
 
 
 def test_search_reads_only_the_buckets_of_its_terms(spark):
     path = new_work_dir(spark, "lexical")
     lexical.build_lexical_index(spark, chunks(spark, TEXTS), path, buckets=4)
-    index = lexical.load_lexical_index(spark, path, 4)
+    index = lexical.load_lexical_index(spark, path)
     wanted = spark.createDataFrame([(1, "court", 1)], "query_id int, term string, qtf int")
     plan = lexical._reachable(index, wanted)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*term_bucket", plan)
