@@ -200,17 +200,17 @@ TOKENS = """
   FROM documents)
 """
 BM25 = f"""{TOKENS},
- words AS (SELECT doc_id, unnest(tokens) AS term FROM tok),
- doc_len AS (SELECT doc_id, len(tokens) AS dl FROM tok),
- corpus AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM doc_len),
- postings AS (
+ doc_len AS MATERIALIZED (SELECT doc_id, len(tokens) AS dl FROM tok),
+ corpus AS MATERIALIZED (SELECT count(*) AS n, avg(dl) AS avgdl FROM doc_len),
+ postings AS MATERIALIZED (
   SELECT term, doc_id, count(*) AS tf, any_value(dl) AS dl
-  FROM words JOIN doc_len USING (doc_id) GROUP BY term, doc_id),
- raw AS (
-  SELECT term, count(*) AS df, ln((SELECT n FROM corpus) - count(*) + 0.5) - ln(count(*) + 0.5) AS v
-  FROM postings GROUP BY term),
- term_stats AS (
-  SELECT term, df, CASE WHEN v < 0 THEN 0.25 * (SELECT avg(v) FROM raw) ELSE v END AS idf FROM raw)
+  FROM (SELECT doc_id, len(tokens) AS dl, unnest(tokens) AS term FROM tok) GROUP BY term, doc_id),
+ raw AS MATERIALIZED (
+  SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS v
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term) CROSS JOIN corpus),
+ term_stats AS MATERIALIZED (
+  SELECT term, df, CASE WHEN v < 0 THEN 0.25 * m ELSE v END AS idf
+  FROM raw CROSS JOIN (SELECT avg(v) AS m FROM raw))
 """
 HASHED = """
  slot AS (
@@ -422,6 +422,9 @@ ORACLE: dict[str, str] = {
     "upsert_vectors": """SELECT vec_id AS point_id, label::BIGINT AS label FROM embeddings
  WHERE vec_id NOT IN (SELECT doc_id FROM labels)
  UNION ALL SELECT doc_id, arg_max(toxic + 100, quality)::BIGINT FROM labels GROUP BY doc_id""",
+    "upsert_points": """SELECT id AS point_id, arg_max(content, place) AS content FROM (
+  SELECT vec_id AS id, label::VARCHAR AS content, 0 AS place FROM embeddings
+  UNION ALL SELECT vec_id % 100, concat('new ', vec_id), vec_id + 1 FROM embeddings WHERE vec_id < 300) GROUP BY id""",
     "delete_vectors": """SELECT vec_id AS point_id, label::BIGINT AS label FROM embeddings
  WHERE vec_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
     "point_ids": """SELECT source, doc_id, row_number() OVER (ORDER BY source, doc_id) - 1 AS point_id

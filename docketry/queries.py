@@ -481,6 +481,23 @@ def upsert_vectors(spark, sf_dir):
     )
 
 
+@query
+def upsert_points(spark, sf_dir):
+    """A stored index into which points are put by ids that repeat: the last one of each wins."""
+    path = new_work_dir(spark, "points")
+    points = views.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("point_id"), F.col("vec_id").cast("string").alias("chunk_id"),
+        F.col("label").cast("string").alias("content"), F.col("embedding").alias("vector"),
+    )
+    vectors.upsert_vectors(spark, points, path)
+    changes = points.where("point_id < 300").orderBy("point_id").select(
+        (F.col("point_id") % 100).alias("point_id"), "chunk_id",
+        F.concat(F.lit("new "), "chunk_id").alias("content"), "vector",
+    )
+    vectors.upsert_vectors(spark, changes, path)
+    return vectors.read_vectors(spark, path).select("point_id", "content")
+
+
 @query
 def delete_vectors(spark, sf_dir):
     """Points whose document is toxic are removed."""
