@@ -150,7 +150,8 @@ def fit(labelled: DataFrame) -> Model:
     words = seen / seen.sum()
     # Random strings: their own pairs, but never far below the uniform.
     random = np.logaddexp(logs(counts[1], 200.0, uniform) + np.log(0.7), np.log(0.3 * uniform))
-    ratios = random - logs(counts[0], 20.0, words)
+    # An identifiers' pair needs many samples, since some of their runs are secrets themselves.
+    ratios = random - logs(counts[0], 500.0, words)
     return Model(np.ascontiguousarray(ratios.ravel(), np.float64))
 
 
