@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +25,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docketry.llm.common import map_arrow, stage
+from docketry.llm.common import TaskCache, map_arrow, stage
 
 LENGTH = 4096
 END_ID = 2
 DIMS, BITS = 3, 16
 SEED = 9
-#: Words a worker remembers.
+#: Words a task remembers.
 CACHE = 800_000
 
 
@@ -66,16 +67,31 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-_MARKS = b".,!?;:"
-_PROBES = ("Straightforward", "HELLO,", "thorer.", "Zxqvwy!", "a?", "I;", "Antidisestablishment:")
+_MARKS = ".,!?;:"
+_LATIN_END = "\u0250"
+_PROBES = ("Straightforward", "HELLO,", "thorer.", "Zxqvwy!", "a?", "I;", "Antidisestablishment:", "ÜBERMÄSSIG", "façade,", "niño.", "œuvreŽ")
 
 
-class _WordIds(dict):
+def _byte_table() -> dict[int, int]:
+    """The letters byte-level tokenizers write bytes with: printable ones themselves, others from 256 up."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + n for n, b in enumerate(hidden)}
+
+
+_BYTE_TABLE = _byte_table()
+
+
+def _byte_letters(word: bytes) -> str:
+    return word.decode("latin-1").translate(_BYTE_TABLE)
+
+
+class _WordIds(TaskCache):
     """Ids of words between white space, as bytes of 16- or 32-bit numbers, remembered up to a bound.
 
     White space always ends a token of the tokenizers meant here, which drop it.  Where
     a tokenizer also folds case and keeps letters apart from marks, which a few
-    probes tell, ASCII words are put together from their letters' ids.
+    probes tell, Latin words are put together from their letters' and marks' ids.
     """
 
     def __init__(self, path: str):
@@ -89,9 +105,9 @@ class _WordIds(dict):
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def _letters(self, word: str) -> list[int]:
-        head = word.rstrip(_MARKS.decode()).lower()
+        head = word.rstrip(_MARKS).lower()
         parts = [head, *word[len(head) :]]
-        return [t.id for part in parts for t in self.tokenizer.model.tokenize(part)]
+        return [t.id for part in parts for t in self.tokenizer.model.tokenize(_byte_letters(part.encode()))]
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE:
@@ -100,20 +116,45 @@ class _WordIds(dict):
         return ids
 
     def _encode(self, word: bytes) -> bytes:
-        if self.folds and b"<|" not in word:
-            small = word.lower()
-            if small != word:
-                return self[small]
+        text = word.decode("utf-8", "replace")
+        if self.folds and max(text) < _LATIN_END and "<|" not in text:
+            small = text.lower()
+            if small != text:
+                return self[small.encode()]
             # A letter and a mark after it are never in one token, nor are letters split before merging.
-            if word[-1:] in _MARKS and word[:-1].isalpha():
+            if text[-1] in _MARKS and text[:-1].isalpha():
                 return self[word[:-1]] + self[word[-1:]]
-            if word.isalpha():
-                return array(self.code, [t.id for t in self.tokenizer.model.tokenize(word.decode())]).tobytes()
-        encoded = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False)
-        return array(self.code, encoded.ids).tobytes()
+            if text.isalpha():
+                return self._array(t.id for t in self.tokenizer.model.tokenize(_byte_letters(word)))
+        return self._array(self._plain(text))
+
+    def _array(self, ids: Iterable[int]) -> bytes:
+        return array(self.code, ids).tobytes()
 
     def of(self, text: bytes) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, text.split())), self.code)
+        return next(self.of_column(pa.array([text], pa.binary()).cast(pa.string())))
+
+    def of_column(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text.  Words are cut and numbered by Arrow; only distinct ones are encoded."""
+        column = pc.fill_null(column, "")
+        if self.folds:
+            # A special token's name is no such name in capitals.
+            column = pc.if_else(pc.match_substring(column, "<|"), column, pc.ascii_lower(column))
+        words = pc.ascii_split_whitespace(column)
+        ends = words.offsets.to_numpy()
+        numbered = words.values.dictionary_encode()
+        codes = numbered.indices.to_numpy()
+        known = [self[w] if w else b"" for w in numbered.dictionary.cast(pa.binary()).to_pylist()]
+        pool = np.frombuffer(b"".join(known), self.code)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // pool.itemsize
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+        for a, b in zip(ends, ends[1:]):
+            mine = codes[a:b]
+            n = sizes[mine]
+            total = int(n.sum())
+            # Each word's ids, one after the other.
+            jumps = np.repeat(starts[mine] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) if len(mine) else np.zeros(0, np.int64)
+            yield pool[jumps + np.arange(total)]
 
 
 _TOKENIZERS: dict[str, _WordIds] = {}
@@ -129,9 +170,7 @@ def tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
         for batch in batches:
             counts, points, out = [], [], []
             column = batch.column("text")
-            column = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
-            for value in column:
-                ids = words.of(value.as_py() or b"")
+            for ids in words.of_column(column):
                 points.append(directions[ids].mean(axis=0) if len(ids) else np.zeros(DIMS, np.float32))
                 counts.append(len(ids) + 1)
                 out.append(ids.tobytes() + end)
