@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 import zlib
 from collections.abc import Collection, Iterator
 
@@ -14,8 +15,8 @@ from pyspark.sql import types as T
 from docketry.plans.tables import read_back
 from docketry.session import new_work_dir, ship_package
 
-#: Words a Python worker remembers; the memory is emptied when it is full.
-CACHE_WORDS = 400_000
+#: Words a task remembers; the memory is emptied when it is full, and after the task.
+CACHE_WORDS = 250_000
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,10 +29,33 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return read_back(df, folder)
 
 
+class TaskCache(dict):
+    """What a task remembers.  Workers live on after a task, its memory does not."""
+
+    live: list[weakref.ref] = []
+
+    def __init__(self):
+        super().__init__()
+        TaskCache.live.append(weakref.ref(self))
+
+    @classmethod
+    def clear_all(cls) -> None:
+        cls.live = [ref for ref in cls.live if ref() is not None]
+        for ref in cls.live:
+            if (cache := ref()) is not None:
+                cache.clear()
+
+
 def map_arrow(df: DataFrame, fn, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with this package shipped to the workers."""
+    """``mapInArrow`` with this package shipped to the workers, whose caches last for a task."""
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            TaskCache.clear_all()
+
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(run, schema)
 
 
 def crc_mod(n: int, column: str = "doc_id") -> Column:
@@ -60,7 +84,7 @@ def labelled_sample(labels: DataFrame, label: str, folds: int, held: int, bound:
     return rows
 
 
-class WordBuckets(dict):
+class WordBuckets(TaskCache):
     """Words to hash buckets, remembered up to a bound."""
 
     def __init__(self, bits: int):
@@ -115,8 +139,9 @@ def copy_weights(docs: DataFrame, sample: DataFrame, bits: int = 18) -> DataFram
     """``sample`` with a weight ``w``: one over the number of its documents alike.
 
     Copies of one text would teach a model that text's ordinary words.  Documents
-    count as alike if their smallest word hash is the same, which near copies share
-    as often as their word sets overlap; of two such keys the larger group counts.
+    count as alike if the smallest hash of their runs of three words is the same, which
+    near copies share as often as their sets of runs overlap; of two such keys the
+    larger group counts.
     """
     n_keys = 2
 
@@ -125,9 +150,13 @@ def copy_weights(docs: DataFrame, sample: DataFrame, bits: int = 18) -> DataFram
         for batch in batches:
             out = []
             for text in texts(batch):
-                ids = words.of(set(words_of(text))).astype(np.uint64)
-                mixed = [ids * np.uint64(m) & np.uint64(0xFFFFFFFF) for m in (0x9E3779B1, 0x85EBCA77)]
-                out.append([int(m.min()) * 1_000_003 + len(ids) // 16 if len(ids) else -1 for m in mixed])
+                ids = words.of(words_of(text)).astype(np.uint64)
+                k = min(3, len(ids))
+                runs = np.zeros(len(ids) - k + 1, np.uint64)
+                for i in range(k):
+                    runs = (runs ^ (runs >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + ids[i : len(ids) - k + 1 + i]
+                mixed = [(runs * np.uint64(m)) >> np.uint64(1) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+                out.append([int(m.min()) if k else -1 for m in mixed])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("y"), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "y", "keys"]
             )

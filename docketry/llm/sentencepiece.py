@@ -30,11 +30,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import map_arrow, texts
+from docketry.llm.common import TaskCache, map_arrow, texts
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE = 800_000
+CACHE = 500_000
 
 
 class Vocabulary:
@@ -156,7 +156,7 @@ class StreamingViterbi:
         return out
 
 
-class Encoder(dict):
+class Encoder(TaskCache):
     """Texts to ids; stretches between sure boundaries are remembered."""
 
     STEP = 256

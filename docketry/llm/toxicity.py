@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.common import (
-    CACHE_WORDS, copy_weights, crc_mod, fit_logistic, labelled_sample, logistic, map_arrow, stage, texts,
+    CACHE_WORDS, TaskCache, copy_weights, crc_mod, fit_logistic, labelled_sample, logistic, map_arrow, stage, texts,
     word_buckets, word_spans, words_of,
 )
 
@@ -45,6 +45,8 @@ HELD_FOLDS, HELD_FOLD = 4, 2
 THRESHOLD = 0.3
 #: Best segments of a text that its evidence counts, and the evidence of none.
 BEST = 50
+#: Words that are counted in a task before their counts go to its arrays.
+FLUSH_WORDS = 1_000_000
 NOTHING = -6.0
 
 
@@ -80,7 +82,7 @@ class Model:
     weights: tuple[float, ...] = (0.0, 0.0, 0.0, -4.0)
 
 
-class _Scores(dict):
+class _Scores(TaskCache):
     """Words to scores, worked out from the model's counts and remembered up to a bound."""
 
     def __init__(self, model: Model):
@@ -184,10 +186,9 @@ def _counts(docs: DataFrame, sample: DataFrame, s: Settings) -> np.ndarray:
     def count(batches):
         sums = np.zeros((3, size))
         words, stems = word_buckets(s.bits), word_buckets(s.stem_bits)
-        for batch in batches:
-            seen: dict[tuple[int, float], Counter] = defaultdict(Counter)
-            for text, y, w in zip(texts(batch), batch.column("y").to_pylist(), batch.column("w").to_pylist()):
-                seen[(2, 1.0) if y is None else (1 - y, w)].update(words_of(text))
+        seen: dict[tuple[int, float], Counter] = defaultdict(Counter)
+
+        def flush():
             for (side, w), counted in seen.items():
                 row = sums[side]
                 n = np.fromiter(counted.values(), np.float64, len(counted)) * w
@@ -195,6 +196,18 @@ def _counts(docs: DataFrame, sample: DataFrame, s: Settings) -> np.ndarray:
                 for cut in s.stem_chars:
                     longer = [(word[:cut], k * w) for word, k in counted.items() if len(word) > cut]
                     np.add.at(row, stems.of([stem for stem, _ in longer]) + (1 << s.bits), [k for _, k in longer])
+            seen.clear()
+
+        held = 0
+        for batch in batches:
+            for text, y, w in zip(texts(batch), batch.column("y").to_pylist(), batch.column("w").to_pylist()):
+                found = words_of(text)
+                seen[(2, 1.0) if y is None else (1 - y, w)].update(found)
+                held += len(found)
+                if held > FLUSH_WORDS:
+                    flush()
+                    held = 0
+        flush()
         sums[2] += sums[0] + sums[1]
         at = np.flatnonzero(sums[2])
         yield pa.RecordBatch.from_arrays(
