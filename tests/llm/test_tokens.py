@@ -199,7 +199,8 @@ def test_pipeline_stages_keep_columns_and_clean_rows(spark, odd, sf):
         assert after.columns == odd.columns, name
         docs = after
     kept = {r["doc_id"]: r["text"] for r in docs.collect()}
-    assert {1, 7, 9, 10, 12, 14, 15} <= kept.keys() and not {3, 8, 11, 13} & kept.keys()
+    # 13 has the most code points of the equal texts; then 3 is the smallest id near it.
+    assert {3, 6, 7, 9, 10, 12, 14, 15} == kept.keys()
     assert "AKIA" not in kept[15]
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
     assert {r["doc_id"] for r in pieces} == kept.keys()
