@@ -93,8 +93,6 @@ class _Scores(TaskCache):
 
     def learn(self, words: set[bytes]) -> None:
         """Work out the scores of ``words``, all at once."""
-        if len(self) + len(words) > CACHE_WORDS:
-            self.clear()
         m, s, new = self.m, self.m.settings, list(words)
         lift = np.ones(len(new))
         for n in s.stem_chars:
@@ -118,7 +116,11 @@ class _Scores(TaskCache):
         yield from self._scores(held)
 
     def _scores(self, held: list[list[bytes]]) -> Iterator[np.ndarray]:
-        self.learn({w for words in held for w in words if w not in self})
+        new = {w for words in held for w in words if w not in self}
+        if len(self) + len(new) > CACHE_WORDS:
+            self.clear()
+            new = {w for words in held for w in words}
+        self.learn(new)
         for words in held:
             yield np.fromiter(map(self.__getitem__, words), np.float64, len(words))
 

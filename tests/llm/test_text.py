@@ -98,6 +98,17 @@ def test_classifiers_take_odd_rows(run, odd, empty, labels):
     assert len(run(odd, labels.limit(0)).collect()) == odd.count()
 
 
+def test_scores_survive_a_full_cache(monkeypatch):
+    counts = np.ones(1 << 18, np.float32)
+    model = toxicity.Model(toxicity.Settings(), *[counts] * 6, 0.1)
+    texts = [" ".join(WORDS[i:] + [f"x{i}"]) for i in range(40)]
+    want = [v.tolist() for v in toxicity._Scores(model).of(texts)]
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 70)
+    held = toxicity._Scores(model)
+    assert [v.tolist() for t in texts for v in held.of([t])] == want
+    assert len(held) <= 70
+
+
 def test_toxic_passages_and_filter(spark):
     docs, labels_, _ = labelled(spark, "toxic")
     model = toxicity.fit(docs, labels_)
