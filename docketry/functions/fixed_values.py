@@ -70,6 +70,9 @@ STATUTES = (
     r"(?:USSG\s*)?§+\s*[\dA-Za-z\.\-\(\)]+",
     r"\b[A-Z][a-z]+\.\s*Stat\.\s*§\s*[\dA-Za-z\.\-\(\)]+",
 )
+NARROW_REPORTER = r"(\d{1,4} [A-Za-z\.]+ \d+)"
+# Reporters such as "F.3d" or "Ill. App. 3d", which the form above rejects.
+WIDE_REPORTER = r"(\d{1,4} (?:[A-Za-z\.][A-Za-z0-9\.]* ){1,4}\d+)"
 PRECEDENT = (
     r"([A-Z][A-Za-z\.\'& ]+ v\. [A-Z][A-Za-z\.\'& ]+),\s*"
     r"(\d{1,4} [A-Za-z\.]+ \d+)(?:\s*\(\d{4}\))?"
