@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import weakref
 import zlib
 from collections.abc import Collection, Iterator
@@ -15,6 +16,9 @@ from pyspark.sql import types as T
 from docketry.plans.tables import read_back
 from docketry.session import new_work_dir, ship_package
 
+#: Bytes of a batch that goes to a Python worker, about.
+BATCH_BYTES = 16 * 1024 * 1024
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Words a task remembers; the memory is emptied when it is full, and after the task.
 CACHE_WORDS = 250_000
 
@@ -46,15 +50,32 @@ class TaskCache(dict):
                 cache.clear()
 
 
+def _give_back() -> None:
+    """Hand the memory a task no longer uses back to the system; its worker lives on."""
+    TaskCache.clear_all()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, fn, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with this package shipped to the workers, whose caches last for a task."""
+    """``mapInArrow`` with this package shipped to the workers, whose caches last for a task.
+
+    Texts are long, so batches are bounded by bytes: to ``BATCH_BYTES``, unless the session
+    already asks for less.
+    """
     def run(batches):
         try:
             yield from fn(batches)
         finally:
-            TaskCache.clear_all()
+            _give_back()
 
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
+    now = spark.conf.get(_BATCH_SETTING).lower().removesuffix("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
     return df.mapInArrow(run, schema)
 
 

@@ -31,6 +31,8 @@ LENGTH = 4096
 END_ID = 2
 DIMS, BITS = 3, 16
 SEED = 9
+#: Texts whose words are cut and numbered at once.
+SLICE = 4000
 #: Words a task remembers.
 CACHE = 800_000
 
@@ -167,7 +169,7 @@ def tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
         size = max(words.tokenizer.get_vocab_size(), END_ID + 1)
         directions = np.random.default_rng(SEED).standard_normal((size, DIMS)).astype(np.float32)
         end = array(words.code, [END_ID]).tobytes()
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, len(b), SLICE)):
             counts, points, out = [], [], []
             column = batch.column("text")
             for ids in words.of_column(column):
