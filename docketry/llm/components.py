@@ -2,39 +2,61 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import stage
+from docketry.llm.common import map_arrow, stage
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``; a component is its smallest node.
 
-    Edges are rewritten to point to ever smaller neighbours, first from each node to
-    its larger ones, then among its smaller ones, until every node points to the
-    smallest of its component.  A round is a few grouped minima and joins, a hub's edges
-    are never gathered, and each round's edges are written, so nothing grows with
+    First each task joins what its own edges connect and passes on one edge for each
+    node it saw.  Then edges are rewritten to point to ever smaller neighbours, from
+    each node to its larger ones and among its smaller ones, until every node points
+    to the smallest of its component.  A round is a few grouped minima and joins, a hub's
+    edges are never gathered, and each round's edges are written, so nothing grows with
     the number of rounds.  No edges give no rows; loops and repeated edges do no harm.
     """
-    now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
-    mark = None
+    now = map_arrow(edges.select("a", "b").where("a != b"), _contract, "u bigint, v bigint")
     while True:
         now = stage(_small_star(_large_star(now)), "components")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
+        ends = now.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+            now.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+        )
+        # Done when all edges lead from nodes with one edge to nodes with none of their own.
+        open_ = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        if open_.where("out > 1 OR (out > 0 AND into > 0)").isEmpty():
             break
-        mark = tuple(seen)
     roots = now.select("v").distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select(F.col("v").alias("node"), F.col("v").alias("component"))
     )
 
 
+def _contract(batches):
+    """One edge from each node of this task's edges to the smallest they connect it with."""
+    parent: dict[int, int] = {}
+
+    def root(a: int) -> int:
+        while (up := parent.setdefault(a, a)) != a:
+            parent[a] = a = parent.setdefault(up, up)
+        return a
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+    pairs = np.array([(a, r) for a in list(parent) if (r := root(a)) != a], np.int64).reshape(-1, 2)
+    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.llm.common import CACHE_WORDS, map_arrow, stage
+from docketry.llm.common import CACHE_WORDS, TaskCache, map_arrow, stage
 from docketry.llm.components import components
 from docketry.plans.sizes import semi_or_anti
 
@@ -52,9 +52,9 @@ MAX_DIFFER = 27
 SEED = 20_240_501
 #: One-bit symbols of the longer signature that open members get, in 64-bit words, and how
 #: many may differ: more happens to a pair of similarity 0.8 twice in 1e9.
-FINE_WORDS, FINE_DIFFER = 16, 160
+FINE_WORDS, FINE_DIFFER = 32, 285
 #: Turns of checks against single members before the rest is compared in full.
-ROUNDS = 2
+ROUNDS = 1
 FINE_NAMES = tuple(f"q{i}" for i in range(FINE_WORDS))
 PLANE_NAMES = tuple(f"p{i}" for i in range(PLANES))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -75,7 +75,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _WordHashes(dict):
+class _WordHashes(TaskCache):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
@@ -188,7 +188,7 @@ def _keys() -> Column:
         for out in range(WIDTH):
             rest = [F.get("sig", F.lit(chunk * WIDTH + i)) for i in range(WIDTH) if i != out]
             keys.append(F.xxhash64(F.lit(chunk * WIDTH + out), *rest))
-    return F.explode(F.array(*keys))
+    return F.array(*keys)
 
 
 def _may_link(percent: int, a: str = "a", b: str = "b") -> Column:
@@ -279,7 +279,7 @@ def _shared(open_nodes: DataFrame, nodes: DataFrame, sketches: DataFrame, rule:
     each = map_arrow(texts, run, "node bigint, all array<bigint>").select("node", F.explode("all").alias("shingle"))
     own = each.groupBy("shingle").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("nodes")).where("nodes = 1")
     own = own.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    found = nodes.drop("sig", "digest").join(wanted, "node").join(own, "node", "left")
+    found = nodes.withColumn("keys", _keys()).drop("sig", "digest").join(wanted, "node").join(own, "node", "left")
     found = found.withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
     return stage(found.where(100 * F.col("shared") >= rule.percent * F.col("n")), "near-shared")
 
@@ -306,14 +306,6 @@ def _may_still(percent: int, a: str = "a", b: str = "b") -> Column:
     return _may_link(percent, a, b) & enough & (differ <= FINE_DIFFER)
 
 
-def _across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """``pairs`` whose ends lie in different components."""
-    for end in ("a", "b"):
-        named = parts.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
-        pairs = pairs.join(named, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
-    return pairs.where("ca != cb").drop("ca", "cb")
-
-
 def links(sketches: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
     """``(row, node)`` of all rows with a set, and ``(node, component)`` of the linked nodes.
 
@@ -326,7 +318,7 @@ def links(sketches: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFram
         .select(F.col("best.row").alias("node"), "n", "digest", "best.sig", *(f"best.{p}" for p in PLANE_NAMES)),
         "near-nodes",
     )
-    keys = nodes.select("node", _keys().alias("key"))
+    keys = nodes.select("node", F.posexplode(_keys()).alias("slot", "key"))
     centres = stage(
         keys.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size"))
         .where("size > 1").select("key", "centre"),
@@ -334,29 +326,22 @@ def links(sketches: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFram
     )
     members = stage(keys.join(centres, "key"), "near-members")
 
-    star = members.where("node != centre").groupBy(F.col("centre").alias("a"), F.col("node").alias("b")).agg(
-        F.count(F.lit(1)).alias("hits")
-    )
+    star = members.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     star = stage(
-        star.join(_named(nodes, "a"), "a").join(_named(nodes, "b"), "b").where(_may_link(rule.percent)).select("a", "b", "hits"),
+        star.join(_named(nodes, "a"), "a").join(_named(nodes, "b"), "b").where(_may_link(rule.percent)).select("a", "b"),
         "near-star",
     )
     ends = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node")))
     texts = _texts_of(ends, sketches)
-    # First each member against the one centre it shares most with; then what is still apart.
-    first = star.groupBy("b").agg(F.max_by("a", F.struct("hits", -F.col("a"))).alias("a"))
-    linked = _confirm(first.select("a", "b"), texts, rule)
-    parts = stage(components(linked), "near-parts")
-    rest = _across(star.select("a", "b"), parts).join(first, ["a", "b"], "left_anti")
-    linked = linked.unionByName(_confirm(rest, texts, rule))
+    linked = _confirm(star, texts, rule)
     parts = stage(components(linked), "near-parts")
 
     # Buckets that hold several components, and in them the nodes that may still be linked.
-    rows = _mixed(members.select("key", "node"), parts)
+    rows = _mixed(members.select("key", "slot", "node"), parts)
     shared = _shared(rows.select("node").distinct(), nodes, sketches, rule)
     texts = _texts_of(shared.select("node"), sketches)
     shared = stage(shared.join(_fine(texts, rule), "node"), "near-fine")
-    rows = stage(rows.select("key", "node").join(shared, "node"), "near-open")
+    rows = stage(rows.select("key", "slot", "node").join(shared, "node"), "near-open")
     for turn in range(ROUNDS):
         # Each outsider of a bucket against one member of its largest component, another one each turn.
         open_ = _mixed(rows, parts)
@@ -373,12 +358,14 @@ def links(sketches: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFram
 
     # What is left: each member of the smaller components of a bucket against all of the others.
     open_ = _mixed(rows, parts)
-    few = _named(open_.where("part != main"), "a", "shared", *FINE_NAMES, "key", "part")
-    all_ = _named(open_, "b", "shared", *FINE_NAMES, "key", "part", "main")
+    few = _named(open_.where("part != main"), "a", "shared", *FINE_NAMES, "key", "slot", "keys", "part")
+    all_ = _named(open_, "b", "shared", *FINE_NAMES, "key", "keys", "part", "main")
+    # A pair counts in the first of the buckets it shares.
+    first = F.array_position(F.zip_with("a_keys", "b_keys", lambda x, y: x == y), F.lit(True)) == F.col("a_slot") + 1
     pairs = (
         few.join(all_, F.col("a_key") == F.col("b_key"))
         .where((F.col("a_part") != F.col("b_part")) & ((F.col("b_part") == F.col("b_main")) | (F.col("a") < F.col("b"))))
-        .where(_may_still(rule.percent))
+        .where(_may_still(rule.percent) & first)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
     linked = linked.unionByName(_confirm(stage(pairs, "near-pairs"), texts, rule))
