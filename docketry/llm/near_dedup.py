@@ -341,10 +341,10 @@ def links(sketches: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFram
     shared = _shared(rows.select("node").distinct(), nodes, sketches, rule)
     texts = _texts_of(shared.select("node"), sketches)
     shared = stage(shared.join(_fine(texts, rule), "node"), "near-fine")
-    rows = stage(rows.select("key", "slot", "node").join(shared, "node"), "near-open")
+    rows = stage(rows.select("key", "slot", "node").join(shared.select("node"), "node"), "near-open")
     for turn in range(ROUNDS):
         # Each outsider of a bucket against one member of its largest component, another one each turn.
-        open_ = _mixed(rows, parts)
+        open_ = _mixed(rows, parts).join(shared, "node")
         inner = F.struct(*(F.col(c) for c in ("node", "n", "shared", *PLANE_NAMES, *FINE_NAMES)))
         centres = open_.where("part = main").groupBy("key").agg(
             F.min_by(inner, F.xxhash64("node", "key", F.lit(turn))).alias("c")
@@ -357,7 +357,7 @@ def links(sketches: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFram
         parts = stage(components(linked), "near-parts")
 
     # What is left: each member of the smaller components of a bucket against all of the others.
-    open_ = _mixed(rows, parts)
+    open_ = _mixed(rows, parts).join(shared, "node")
     few = _named(open_.where("part != main"), "a", "shared", *FINE_NAMES, "key", "slot", "keys", "part")
     all_ = _named(open_, "b", "shared", *FINE_NAMES, "key", "keys", "part", "main")
     # A pair counts in the first of the buckets it shares.
