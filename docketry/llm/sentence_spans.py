@@ -1,17 +1,25 @@
 """Substring dedup by sliding spans of sentences.
 
-Every run of ``SPAN`` consecutive sentences is hashed, and all runs of all documents are
-joined by hash.  The first place of a run (smallest id, then place in the text) stays; the
-sentences that any other place of it covers are removed.  A passage of several sentences
-that repeats is so removed everywhere but once, to the sentence.
-
-Sentences end at ``.``, ``!`` or ``?`` before white space and at line ends.  A sentence of
-more than ``LONG`` words is cut further after words whose hash says so, which are the same
-words wherever it stands.  Sentences are compared by their words in lower case.
-
-Counting the places of a run is an aggregate with partial sums, so a run that stands
-in a third of all documents is no large group; only runs seen more than once are joined
-back, and only rows that lose sentences are rewritten.
+Runs of consecutive pieces of a text are hashed, and all runs of all documents are joined
+by hash.  The first place of a run (smallest id, then place in the text) stays; the
+pieces that any other place of it covers are removed.
+
+Sentences end at ``.``, ``!`` or ``?`` before white space, at line ends, and at the full
+stops of texts without spaces.  A sentence of more than ``LONG`` words is cut further into pieces by winnowing:
+after each word that has the smallest hash of some ``WINDOW`` words of its sentence.  So
+the cuts inside a passage, but for its first and last ``WINDOW - 1`` words, are the same in
+whatever sentence it stands.  Words are compared in lower case; in scripts that have no
+spaces between words each character is one.
+
+A run reaches over as many pieces as give ``SPAN_WORDS`` words in ``SPAN`` sentences or more, or
+``INSIDE_WORDS`` words of one sentence.  From each piece the shortest run that begins with it
+and the shortest that ends with it are hashed, so each piece of a common row of pieces
+that reaches the minimum is in a common run.  Two characters count as a word, and so
+do 16 letters of a longer one.
+
+Hashes of runs are first counted alone, an aggregate with partial sums, so a run that stands
+in a third of all documents is no large group; places are looked up only for runs seen
+more than once, and only rows that lose pieces are rewritten.
 """
 
 from __future__ import annotations
@@ -26,65 +34,152 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.llm.common import map_arrow, stage
+from docketry.llm.common import CACHE_WORDS, TaskCache, map_arrow, stage
 from docketry.plans.sizes import is_small, semi_or_anti
 
 SPAN = 2
-#: Words a run must have; shorter ones, such as rows of one-word sentences, repeat by chance.
-SPAN_WORDS = 12
-LONG, CUT = 40, 8
+#: Words a run must have, in ``SPAN`` sentences or more and inside one; shorter ones repeat by chance.
+SPAN_WORDS, INSIDE_WORDS = 12, 20
+WINDOW = 8
+LONG = 40
 BROADCAST_STARTS = 2_000_000
 
-_END = re.compile(r"(?<=[.!?])\s+|\n\s*")
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Scripts without spaces between words: Thai to Tibetan, Burmese, Khmer, Chinese and Japanese.
+_DENSE = r"฀-࿿က-႟ក-៿⺀-⿿、-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿！-ﾟ\U00020000-\U0003ffff"
+_TOKEN = re.compile(rf"[{_DENSE}]\s*|[^\s{_DENSE}]+\s*")
+_IS_DENSE = re.compile(f"[{_DENSE}]")
+_STEP = 0x9E3779B97F4A7C15
+_BACK = pow(_STEP, -1, 1 << 64)
+_MASK = (1 << 64) - 1
+
+
+class _Tokens(TaskCache):
+    """Words with the white space after them to places in arrays of what is known of them."""
+
+    def __init__(self):
+        super().__init__()
+        self._room(0)
+
+    def _room(self, n: int) -> None:
+        size = max(CACHE_WORDS, n)
+        self.high, self.low = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
+        #: Half words, and whether a sentence ends here.
+        self.weight, self.ends = np.zeros(size, np.int64), np.zeros(size, bool)
+
+    def of(self, tokens: list[str]) -> np.ndarray:
+        new = [t for t in set(tokens) if t not in self]
+        if len(self) + len(new) > len(self.high):
+            self.clear()
+            new = list(set(tokens))
+            self._room(len(new))
+        if new:
+            words = [t.rstrip() for t in new]
+            first, last = len(self), len(self) + len(new)
+            bits = b"".join([xxhash.xxh3_128_digest(w.lower().encode("utf-8", "replace")) for w in words])
+            self.high[first:last], self.low[first:last] = np.frombuffer(bits, ">u8").reshape(-1, 2).T
+            self.weight[first:last] = [1 if not w.isascii() and _IS_DENSE.match(w) else max(2, len(w) >> 3) for w in words]
+            self.ends[first:last] = [
+                w[-1] in "。！？" or (w != t and (w[-1] in ".!?" or "\n" in t)) for w, t in zip(words, new)
+            ]
+            self.update(zip(new, range(first, last)))
+        return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+
+
+class _Powers:
+    """Powers of ``base`` modulo 2**64, as many as were asked for."""
+
+    def __init__(self, base: int):
+        self.base, self.known = np.uint64(base), np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> np.ndarray:
+        if len(self.known) < n:
+            factors = np.full(max(n, 4096), self.base)
+            factors[0] = 1
+            self.known = np.multiply.accumulate(factors)
+        return self.known[:n]
+
+
+_TOKENS = _Tokens()
+_UP, _DOWN = _Powers(_STEP), _Powers(_BACK)
+
+
+def _cuts(h: np.ndarray, sentence: np.ndarray) -> np.ndarray:
+    """Whether a word has the smallest hash (the last of equal ones) of some window inside its sentence."""
+    cut = np.zeros(len(h), bool)
+    n = len(h) - WINDOW + 1
+    if n < 1:
+        return cut
+    least = h[:n].copy()
+    for k in range(1, WINDOW):
+        np.minimum(least, h[k : k + n], out=least)
+    open_ = sentence[:n] == sentence[WINDOW - 1 :]
+    for k in reversed(range(WINDOW)):
+        hit = open_ & (h[k : k + n] == least)
+        cut[k : k + n] |= hit
+        open_ &= ~hit
+    return cut
+
+
+def _pieces(text: str):
+    """Places of the words in ``_TOKENS``, first words of the pieces and the end, their sentences, all spans."""
+    tokens = _TOKEN.findall(text)
+    if not tokens:
+        return np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), [(0, len(text))] if text else []
+    at = _TOKENS.of(tokens)
+    ends = _TOKENS.ends[at]
+    ends[-1] = True
+    sentence = np.cumsum(ends) - ends
+    cuts = _cuts(_TOKENS.high[at], sentence) & (np.bincount(sentence)[sentence] > LONG)
+    edges = np.concatenate([[0], np.flatnonzero(ends | cuts) + 1])
+    points = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))
+    # White space before the first word belongs to its piece.
+    stops = (points[edges[1:] - 1] + (len(text) - int(points[-1]))).tolist()
+    return at, edges, sentence[edges[:-1]], list(zip([0, *stops], stops))
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """Spans of the sentences, white space after each included, so that together they are the text.
+    """Spans of the pieces of sentences, white space after each included, so that together they are the text.
+
+    White space before the first piece belongs to it.
+    """
+    return _pieces(text)[3]
+
+
+def _runs(sizes: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First pieces and ends of the shortest runs from and to each piece.
 
-    White space before the first sentence belongs to it.
+    ``sizes`` are the half words before each piece and in all.
     """
-    cuts = [0, *(m.end() for m in _END.finditer(text)), len(text)]
-    spans = []
-    for a, b in zip(cuts, cuts[1:]):
-        if a == b or (not text[a:b].strip() and spans):
-            if spans:
-                spans[-1] = (spans[-1][0], b)
-            continue
-        spans += _cut_long(text, a, b) if b - a > 2 * LONG else [(a, b)]
-    return spans
-
-
-def _cut_long(text: str, a: int, b: int) -> list[tuple[int, int]]:
-    words = list(re.finditer(r"\S+\s*", text[a:b]))
-    if len(words) <= LONG:
-        return [(a, b)]
-    spans, start = [], a
-    for m in words[:-1]:
-        if xxhash.xxh3_64_intdigest(m.group().strip().lower().encode("utf-8", "replace")) % CUT == 0:
-            spans.append((start, a + m.end()))
-            start = a + m.end()
-    return [*spans, (start, b)]
-
-
-def run_hashes(text: str) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
-    """Sentence spans, and 128 bits for each run of ``SPAN`` sentences as two rows; 0, 0 for runs too short."""
-    spans = sentences(text)
-    if len(spans) < SPAN:
-        return spans, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    words = [text[a:b].lower().split() for a, b in spans]
-    each = [xxhash.xxh3_128_intdigest(" ".join(w).encode("utf-8", "replace")) for w in words]
-    n = len(spans) - SPAN + 1
-    sizes = np.convolve(list(map(len, words)), np.ones(SPAN, int), "valid")
+    n = len(sentence)
+    short, inside = 2 * SPAN_WORDS, 2 * INSIDE_WORDS
+    here = np.arange(n)
+    after = np.searchsorted(sentence, sentence + (SPAN - 1)) + 1
+    end = np.minimum(np.maximum(np.searchsorted(sizes, sizes[:-1] + short), after), np.searchsorted(sizes, sizes[:-1] + inside))
+    before = np.searchsorted(sentence, sentence - (SPAN - 1), "right") - 1
+    start = np.maximum(
+        np.minimum(np.searchsorted(sizes, sizes[1:] - short, "right") - 1, before),
+        np.searchsorted(sizes, sizes[1:] - inside, "right") - 1,
+    )
+    ahead, back = end <= n, start >= 0
+    both = np.unique(np.concatenate([here[ahead] * (n + 1) + end[ahead], start[back] * (n + 1) + here[back] + 1]))
+    return both // (n + 1), both % (n + 1)
+
+
+def run_hashes(text: str):
+    """Spans of the pieces, number of sentences, first pieces and ends of the runs, and 128 bits for each run as two rows."""
+    at, edges, sentence, spans = _pieces(text)
+    none = np.zeros(0, np.int64)
+    if not len(at):
+        return spans, len(spans), none, none, none, none
+    starts, ends = _runs(np.concatenate([[0], np.cumsum(_TOKENS.weight[at])])[edges], sentence)
     rows = []
-    for shift in (64, 0):
-        part = np.fromiter((e >> shift & 0xFFFFFFFFFFFFFFFF for e in each), np.uint64, len(each))
-        rolled = np.zeros(n, np.uint64)
-        for k in range(SPAN):
-            rolled = (rolled ^ (rolled >> np.uint64(29))) * _STEP + part[k : k + n]
-        rolled = (rolled ^ (rolled >> np.uint64(32))) * _STEP
-        rows.append(np.where(sizes >= SPAN_WORDS, rolled, 0).astype(np.uint64).view(np.int64))
-    return spans, *rows
+    for part in (_TOKENS.high[at], _TOKENS.low[at]):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * _UP.upto(len(at)))])[edges]
+        # The power of the first word's place is taken out, so the same words give the same sum anywhere.
+        rolled = (sums[ends] - sums[starts]) * _DOWN.upto(len(at))[edges[starts]]
+        rolled = (rolled ^ (rolled >> np.uint64(32))) * np.uint64(_STEP)
+        rows.append((rolled ^ (rolled >> np.uint64(29))).view(np.int64))
+    return spans, int(sentence[-1]) + 1, starts, ends, *rows
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
@@ -93,8 +188,8 @@ def _hashed(docs: DataFrame) -> DataFrame:
         for batch in batches:
             counts, high, low = [], [], []
             for value in pc.struct_field(batch.column("doc"), "text"):
-                spans, a, b = run_hashes(value.as_py() or "")
-                counts.append(len(spans))
+                _, n, _, _, a, b = run_hashes(value.as_py() or "")
+                counts.append(n)
                 high.append(a)
                 low.append(b)
             ends = pa.array(np.cumsum([0, *map(len, high)]), pa.int32())
@@ -114,22 +209,26 @@ def _hashed(docs: DataFrame) -> DataFrame:
 
 
 def repeated(hashed: DataFrame) -> DataFrame:
-    """``(row, starts)``: the runs of each row that are not the first of their kind, by first sentence."""
+    """``(row, again)``: the runs of each row that are not the first of their kind, by number."""
+    seen = hashed.select(F.explode("high").alias("high")).groupBy("high").agg(F.count(F.lit(1)).alias("n"))
+    seen = stage(seen.where("n > 1").select("high"), "spans-seen")
     runs = hashed.select(
         "row", F.col("doc.doc_id").alias("id"), F.posexplode(F.arrays_zip("high", "low")).alias("at", "h")
-    ).select("row", "id", "at", F.col("h.high").alias("high"), F.col("h.low").alias("low")).where("high != 0 OR low != 0")
+    ).select("row", "id", "at", F.col("h.high").alias("high"), F.col("h.low").alias("low"))
+    runs = stage(semi_or_anti(runs, seen, ["high"], "left_semi", is_small(seen, BROADCAST_STARTS)), "spans-runs")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "at")
     kinds = runs.groupBy("high", "low").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     kinds = stage(kinds.where("n > 1").select("high", "low", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")), "spans-kinds")
     again = runs.join(kinds, ["high", "low"]).where("row != first_row OR at != first_at")
-    return stage(again.groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("starts")), "spans-again")
+    return stage(again.groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("again")), "spans-again")
 
 
-def _covered(starts: list[int], spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Joined text spans of the sentences that runs from ``starts`` cover."""
+def _covered(again: list[int], text: str) -> list[tuple[int, int]]:
+    """Joined text spans of the pieces that the runs of these numbers cover."""
+    spans, _, starts, ends, _, _ = run_hashes(text)
     out: list[tuple[int, int]] = []
-    for s in starts:
-        a, b = spans[s][0], spans[min(s + SPAN, len(spans)) - 1][1]
+    for r in again:
+        a, b = spans[starts[r]][0], spans[ends[r] - 1][1]
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], max(b, out[-1][1]))
         else:
@@ -140,10 +239,10 @@ def _covered(starts: list[int], spans: list[tuple[int, int]]) -> list[tuple[int,
 def drop_repeated_spans(docs: DataFrame) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: doc_id, text, n_sentences, removed.
 
-    ``text`` is the text without repeated sentences and ``removed`` their spans in the old
+    ``text`` is the text without repeated pieces of sentences and ``removed`` their spans in the old
     text (code points, end exclusive).  A run repeated inside one text counts, too.  Null
-    texts stay null; texts of fewer than ``SPAN`` sentences stay as they are.  Of rows
-    that repeat an id and a text, the first keeps its sentences.
+    texts stay null; texts without a run stay as they are.  Of rows that repeat an id and
+    a text, the first keeps its pieces.
     """
     hashed = _hashed(docs.select("doc_id", "text"))
     again = repeated(hashed)
@@ -151,9 +250,9 @@ def drop_repeated_spans(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             made, removed = [], []
-            for value, starts in zip(batch.column("text"), batch.column("starts").to_pylist()):
+            for value, runs in zip(batch.column("text"), batch.column("again").to_pylist()):
                 text = value.as_py() or ""
-                gone = _covered(starts, sentences(text))
+                gone = _covered(runs, text)
                 at, parts = 0, []
                 for a, b in gone:
                     parts.append(text[at:a])
@@ -168,10 +267,10 @@ def drop_repeated_spans(docs: DataFrame) -> DataFrame:
 
     slim = hashed.select("row", F.col("doc.doc_id").cast("bigint").alias("doc_id"), F.col("doc.text").alias("text"), "n_sentences")
     schema = "doc_id bigint, text string, n_sentences bigint, removed array<struct<start: bigint, end: bigint>>"
-    # What a broadcast would hold: so many rows and sentence numbers at most.
-    small = is_small(again) and (again.agg(F.sum(F.size("starts"))).first()[0] or 0) <= BROADCAST_STARTS
+    # What a broadcast would hold: so many rows and run numbers at most.
+    small = is_small(again) and (again.agg(F.sum(F.size("again"))).first()[0] or 0) <= BROADCAST_STARTS
     changed = slim.join(F.broadcast(again) if small else again, "row")
     kept = semi_or_anti(slim, again, ["row"], "left_anti", small).select(
         "doc_id", "text", "n_sentences", F.array().cast("array<struct<start: bigint, end: bigint>>").alias("removed")
     )
-    return map_arrow(changed.select("doc_id", "text", "n_sentences", "starts"), run, schema).unionByName(kept)
+    return map_arrow(changed.select("doc_id", "text", "n_sentences", "again"), run, schema).unionByName(kept)

@@ -277,6 +277,32 @@ def test_runs_equal_brute_force(spark):
         assert got[i]["text"] == "".join(p for k, p in enumerate(parts) if k not in gone)
 
 
+def _kept(spark, rows):
+    made = sentence_spans.drop_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    return {r["doc_id"]: r["text"] for r in made.collect()}
+
+
+def test_passages_of_short_lines_go_but_once(spark):
+    rng = random.Random(21)
+    verse = "\n".join(" ".join(rng.choice(WORDS) for _ in range(5)) for _ in range(40))
+    pair = "\n".join(" ".join(rng.choice(WORDS) for _ in range(2)) for _ in range(2))
+    signs = [chr(c) for c in range(0x4E00, 0x4E00 + 800)]
+    chinese = "".join("".join(rng.choice(signs) for _ in range(15)) + "。" for _ in range(8))
+    dense = "".join(rng.choice(signs) for _ in range(70))
+    own = [prose(rng, 5) for _ in range(8)]
+    rows = [(i, f"{own[i]}\n{verse}\n{own[i + 1]}") for i in (1, 2, 3)]
+    rows += [(i, f"{own[i]}\n{chinese}\n") for i in (5, 6)]
+    # Two lines of four words in all repeat by chance.
+    rows += [(i, f"{own[7]} {i}\n{pair}" if i == 10 else pair) for i in (10, 11)]
+    hosts = ["".join(rng.choice(signs) for _ in range(30)) for _ in range(4)]
+    rows += [(20, hosts[0] + dense + hosts[1]), (21, hosts[2] + dense + hosts[3])]
+    got, texts = _kept(spark, rows), dict(rows)
+    assert got[1] == texts[1] and got[5] == texts[5] and got[11] == texts[11] and got[20] == texts[20]
+    assert not any(line in got[i] for i in (2, 3) for line in verse.split("\n"))
+    assert got[6].strip() == own[6]
+    assert len(got[21]) < len(texts[21]) - sentence_spans.INSIDE_WORDS
+
+
 def test_sentences_cover_the_text():
     rng = random.Random(1)
     for text in ["", " ", "a", "\n\nA b.  C d!\n e", prose(rng) + "\n" + " ".join(WORDS * 4), ". . .\n\n", " " * 5000 + "x"]:
