@@ -5,7 +5,7 @@ by hash.  The first place of a run (smallest id, then place in the text) stays;
 pieces that any other place of it covers are removed.
 
 Sentences end at ``.``, ``!`` or ``?`` before white space, at line ends, and at the full
-stops of texts without spaces.  A sentence of more than ``LONG`` words is cut further into pieces by winnowing:
+stops of texts without spaces.  Every sentence is cut further into pieces by winnowing:
 after each word that has the smallest hash of some ``WINDOW`` words of its sentence.  So
 the cuts inside a passage, but for its first and last ``WINDOW - 1`` words, are the same in
 whatever sentence it stands.  Words are compared in lower case; in scripts that have no
@@ -15,7 +15,9 @@ A run reaches over as many pieces as give ``SPAN_WORDS`` words in ``SPAN`` sente
 ``INSIDE_WORDS`` words of one sentence.  From each piece the shortest run that begins with it
 and the shortest that ends with it are hashed, so each piece of a common row of pieces
 that reaches the minimum is in a common run.  Two characters count as a word, and so
-do 16 letters of a longer one.
+do 16 letters of a longer one.  Any common passage of ``4 * WINDOW - 3 + INSIDE_WORDS`` =
+49 words holds such a run, wherever it begins; where it begins or ends inside a sentence of
+its host, fewer than ``2 * WINDOW`` words at that end may stay.
 
 Hashes of runs are first counted alone, an aggregate with partial sums, so a run that stands
 in a third of all documents is no large group; places are looked up only for runs seen
@@ -41,7 +43,6 @@ SPAN = 2
 #: Words a run must have, in ``SPAN`` sentences or more and inside one; shorter ones repeat by chance.
 SPAN_WORDS, INSIDE_WORDS = 12, 20
 WINDOW = 8
-LONG = 40
 BROADCAST_STARTS = 2_000_000
 
 #: Scripts without spaces between words: Thai to Tibetan, Burmese, Khmer, Chinese and Japanese.
@@ -129,8 +130,7 @@ def _pieces(text: str):
     ends = _TOKENS.ends[at]
     ends[-1] = True
     sentence = np.cumsum(ends) - ends
-    cuts = _cuts(_TOKENS.high[at], sentence) & (np.bincount(sentence)[sentence] > LONG)
-    edges = np.concatenate([[0], np.flatnonzero(ends | cuts) + 1])
+    edges = np.concatenate([[0], np.flatnonzero(ends | _cuts(_TOKENS.high[at], sentence)) + 1])
     points = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))
     # White space before the first word belongs to its piece.
     stops = (points[edges[1:] - 1] + (len(text) - int(points[-1]))).tolist()

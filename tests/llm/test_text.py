@@ -303,6 +303,29 @@ def test_passages_of_short_lines_go_but_once(spark):
     assert len(got[21]) < len(texts[21]) - sentence_spans.INSIDE_WORDS
 
 
+def test_passages_in_mid_sentence_go_but_once(spark):
+    rng = random.Random(22)
+
+    def words(n):
+        return " ".join(rng.choice(WORDS) for _ in range(n))
+
+    rows, passages = [], {}
+    for i in range(0, 600, 2):
+        n = rng.randrange(51, 61)
+        at = rng.randrange(8, n - 8)
+        # Two sentences, or a part of one.
+        passage = passages[i] = words(at) + rng.choice([". ", " "]) + words(n - at) + rng.choice([".", ""])
+        for k in (i, i + 1):
+            rows.append((k, f"{words(rng.randrange(1, 30))} {passage} {words(rng.randrange(1, 30))}."))
+    got, texts = _kept(spark, rows), dict(rows)
+    for i, passage in passages.items():
+        assert got[i] == texts[i]
+        lost = len(texts[i + 1].split()) - len(got[i + 1].split())
+        # Fewer than two windows at each end may stay, and nothing of the host may go.
+        assert len(passage.split()) - 4 * sentence_spans.WINDOW + 3 <= lost <= len(passage.split())
+        assert texts[i + 1].startswith(got[i + 1][: texts[i + 1].index(passage)])
+
+
 def test_sentences_cover_the_text():
     rng = random.Random(1)
     for text in ["", " ", "a", "\n\nA b.  C d!\n e", prose(rng) + "\n" + " ".join(WORDS * 4), ". . .\n\n", " " * 5000 + "x"]:
