@@ -53,6 +53,8 @@ SEED = 20_240_501
 #: One-bit symbols of the longer signature that open members get, in 64-bit words, and how
 #: many may differ: more happens to a pair of similarity 0.8 twice in 1e9.
 FINE_WORDS, FINE_DIFFER = 32, 285
+#: The similarity that the chunks and the limits above are made for.
+LEAST_PERCENT = 80
 #: Turns of checks against single members before the rest is compared in full.
 ROUNDS = 1
 FINE_NAMES = tuple(f"q{i}" for i in range(FINE_WORDS))
@@ -62,11 +64,19 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Rule:
-    """Words in a shingle, and the similarity in percent from which documents are linked."""
+    """Words in a shingle, and the similarity in percent from which documents are linked.
+
+    The chunks and both limits on differing symbols are those of ``LEAST_PERCENT``; with less,
+    links would be lost, so that is an error.
+    """
 
     words: int = 5
     percent: int = 80
 
+    def __post_init__(self):
+        if not LEAST_PERCENT <= self.percent <= 100:
+            raise ValueError(f"percent must be from {LEAST_PERCENT} to 100: below, links would be lost")
+
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit moves every output bit."""

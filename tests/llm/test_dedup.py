@@ -86,6 +86,13 @@ def test_near_duplicates_of_odd_rows(odd):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([1, 4, 5, 6, None, 7, 9, 10, 12, 14, 15])
 
 
+@pytest.mark.parametrize("percent", [0, 50, 79, 101])
+def test_a_rule_that_would_lose_links_is_an_error(percent):
+    with pytest.raises(ValueError, match="percent"):
+        near_dedup.Rule(percent=percent)
+    assert [near_dedup.Rule(percent=p).percent for p in (80, 100)] == [80, 100]
+
+
 def test_a_chunk_with_one_error_always_shares_a_key(spark):
     rng = np.random.default_rng(0)
     a = rng.integers(0, 1 << 16, near_dedup.SYMBOLS)
