@@ -43,10 +43,9 @@ from docketry.llm.common import (
 
 HELD_FOLDS, HELD_FOLD = 4, 2
 THRESHOLD = 0.3
-#: Best segments of a text that its evidence counts, and the evidence of none.
-BEST = 50
 #: Words that are counted in a task before their counts go to its arrays.
 FLUSH_WORDS = 1_000_000
+#: The evidence of no segment.
 NOTHING = -6.0
 
 
@@ -164,21 +163,20 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(s, e, r - b) for s, e, b, r in open_]
 
 
-def _evidence(best: list[float], n: int, lam: float, log_k: float) -> list[float]:
-    """Calibrated evidence of a text of ``n`` words from its best segment scores, in falling order.
+def _evidence(found: np.ndarray, n: int, lam: float, log_k: float) -> list[float]:
+    """Calibrated evidence of a text of ``n`` words from the scores of all its segments.
 
     Of the best segment, of the best ones together (as many as make it strongest),
     and of all of them against the length.
     """
-    if not best:
+    if not len(found):
         return [NOTHING, NOTHING, 0.0]
     room = log_k + math.log(max(n, 1))
-    total, strongest = 0.0, NOTHING
-    for r, value in enumerate(best, 1):
-        total += lam * value
-        # Sum statistics: r segments in falling order are 1/r! as likely as in any order.
-        strongest = max(strongest, total - r * room + math.lgamma(r + 1))
-    return [max(lam * best[0] - room, NOTHING), min(strongest, 40.0), total / math.sqrt(max(n, 1))]
+    totals = lam * np.cumsum(np.sort(found)[::-1])
+    # Sum statistics: r segments in falling order are 1/r! as likely as in any order.
+    r = np.arange(1, len(found) + 1)
+    strongest = float(np.max(totals - r * room + np.cumsum(np.log(r))))
+    return [max(float(totals[0]) - room, NOTHING), min(max(strongest, NOTHING), 40.0), float(totals[-1]) / math.sqrt(max(n, 1))]
 
 
 def _counts(docs: DataFrame, sample: DataFrame, s: Settings) -> np.ndarray:
@@ -273,33 +271,40 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         for batch in batches:
             out = []
             for values in scores.of(texts(batch)):
-                out.append((len(values), sorted((x[2] for x in segments(values)), reverse=True)[:BEST]))
+                out.append((len(values), [x[2] for x in segments(values)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("y"), batch.column("w"), pa.array([n for n, _ in out], pa.int64()),
                  pa.array([f for _, f in out], pa.list_(pa.float64()))], names=["y", "w", "n", "found"]
             )
 
     read = docs.select("doc_id", "text").join(F.broadcast(sample.where(for_curve)), "doc_id").select("text", "y", "w")
-    # Of at most `max_labelled` documents, so many numbers each as BEST.
-    rows = map_arrow(read, measure, "y int, w double, n bigint, found array<double>").toPandas()
+    measured = stage(map_arrow(read, measure, "y int, w double, n bigint, found array<double>"), "toxic-segments")
+    # Of at most `max_labelled` documents; all segments of a text stay in the table.
+    rows = measured.select("y", "n", F.coalesce(F.array_max("found"), F.lit(0.0)).alias("top")).toPandas()
     y = rows["y"].to_numpy(float)
     n = np.maximum(rows["n"].to_numpy(float), 1)
-    top = np.array([f[0] if len(f) else 0.0 for f in rows["found"]])
+    top = rows["top"].to_numpy(float)
     quiet = (y == 0) & (top > 0)
     # Middle of the extreme-value law: (ln(K n) - ln ln 2) / lam.  A few clean labels are wrong; the median bears them.
     log_k = float(np.median(lam * top[quiet] - np.log(n[quiet])) + math.log(math.log(2))) if quiet.any() else 0.0
     model = replace(model, lam=lam, log_k=log_k)
     if not 0 < y.sum() < len(y):
         return model
-    x = np.array([_evidence(list(f), int(k), lam, log_k) for f, k in zip(rows["found"], n)])
-    return replace(model, weights=tuple(fit_logistic(x, y, rows["w"].to_numpy(float))))
+
+    def weigh(batches):
+        for batch in batches:
+            x = [_evidence(f.values.to_numpy(), k.as_py(), lam, log_k) for f, k in zip(batch.column("found"), batch.column("n"))]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("w"), pa.array(x, pa.list_(pa.float64()))], names=["y", "w", "x"])
+
+    rows = map_arrow(measured, weigh, "y int, w double, x array<double>").toPandas()
+    x = np.array(rows["x"].tolist(), float)
+    return replace(model, weights=tuple(fit_logistic(x, rows["y"].to_numpy(float), rows["w"].to_numpy(float))))
 
 
 def _judge(values: np.ndarray, m: Model) -> tuple[float, list[tuple[int, int, float]]]:
     """Probability and segments of a text from its words' scores."""
     found = segments(values)
-    best = sorted((x[2] for x in found), reverse=True)[:BEST]
-    seen = _evidence(best, len(values), m.lam, m.log_k)
+    seen = _evidence(np.array([x[2] for x in found]), len(values), m.lam, m.log_k)
     return float(logistic(np.dot(m.weights[:-1], seen) + m.weights[-1])), found
 
 

@@ -109,6 +109,17 @@ def test_scores_survive_a_full_cache(monkeypatch):
     assert len(held) <= 70
 
 
+def test_evidence_counts_every_segment():
+    model = toxicity.Model(toxicity.Settings(), *[np.ones(1, np.float32)] * 6, 0.1, lam=0.1, weights=(0.0, 0.0, 1.0, 0.0))
+    p, found = toxicity._judge(np.tile([2.0, -5.0], 200), model)
+    assert len(found) == 200 and math.isclose(p, 1 / (1 + math.exp(-0.1 * 2 * 200 / math.sqrt(400))))
+    # As many of the best as make it strongest, by the sum written out.
+    scores, n, log_k = [3.0, 9.0, 5.0, 1.0], 40, -2.0
+    room, falling = log_k + math.log(n), sorted(scores, reverse=True)
+    want = max(sum(falling[:r]) - r * room + math.lgamma(r + 1) for r in range(1, 5))
+    assert math.isclose(toxicity._evidence(np.array(scores), n, 1.0, log_k)[1], want)
+
+
 def test_toxic_passages_and_filter(spark):
     docs, labels_, _ = labelled(spark, "toxic")
     model = toxicity.fit(docs, labels_)
