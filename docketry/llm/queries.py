@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import chat, exact_dedup, near_dedup, packing, quality, secrets, sentence_spans, sentencepiece, simhash, toxicity
+from docketry.llm import (
+    bpe, chat, exact_dedup, near_dedup, packing, quality, secrets, sentence_spans, sentencepiece, simhash, structure_repair, toxicity,
+)
 from docketry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +80,15 @@ def op9_simhash(spark, sf_dir):
 @query
 def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_structure_repair(spark, sf_dir):
+    damaged = structure_repair.damage(table(spark, sf_dir, "conversations"))
+    return structure_repair.audit(structure_repair.repair(damaged, F.col("gone")))
+
+
+@query
+def op13_byte_bpe(spark, sf_dir):
+    merges = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), merges), merges))
