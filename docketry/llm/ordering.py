@@ -134,3 +134,36 @@ def _add_chains(moved: DataFrame, before: dict[int, int]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return map_arrow(moved, run, moved.schema)
+
+
+def _each(batches, names):
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in names))
+
+
+def _rows(found: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*found) if found else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+#: Rows that a task hands on at once, and letters of their blocks.
+BATCH, LETTERS = 2000, 4_000_000
+
+
+def map_rows(df: DataFrame, make, schema: str) -> DataFrame:
+    """``mapInArrow`` by a generator of tuples from tuples, in batches of bounded size."""
+    kinds = T.StructType.fromDDL(schema)
+    arrow, names = to_arrow_schema(kinds), df.columns
+
+    def run(batches):
+        found, size = [], 0
+        for row in make(_each(batches, names)):
+            found.append(row)
+            size += sum(len(v) for v in row if isinstance(v, (str, list)))
+            if len(found) >= BATCH or size >= LETTERS:
+                yield _rows(found, arrow)
+                found, size = [], 0
+        if found:
+            yield _rows(found, arrow)
+
+    return map_arrow(df, run, kinds)

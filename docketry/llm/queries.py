@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.llm import (
-    bpe, chat, exact_dedup, near_dedup, packing, quality, secrets, sentence_spans, sentencepiece, simhash, structure_repair, toxicity,
+    bpe, chat, exact_dedup, near_dedup, packing, prefix_trie, quality, secrets, sentence_spans, sentencepiece, simhash,
+    structure_repair, toxicity,
 )
 from docketry.llm.common import table
 
@@ -88,6 +89,11 @@ def op11_structure_repair(spark, sf_dir):
     return structure_repair.audit(structure_repair.repair(damaged, F.col("gone")))
 
 
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.build(prefix_trie.rebuild(prefix_trie.hashed_turns(table(spark, sf_dir, "conversations"))))
+
+
 @query
 def op13_byte_bpe(spark, sf_dir):
     merges = public_tokenizers.path("byte_bpe_50k.json")

@@ -26,14 +26,11 @@ from __future__ import annotations
 import hashlib
 from functools import lru_cache
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from docketry.llm.common import map_arrow, stage
-from docketry.llm.ordering import in_order
+from docketry.llm.common import stage
+from docketry.llm.ordering import in_order, map_rows
 
 UNIT = 64
 WHITE = " \t\n\x0b\x0c\r"
@@ -184,39 +181,6 @@ def _codes(rows: DataFrame) -> DataFrame:
     return marked.withColumn("fault", fault).select("conv_id", "at", "n", "fault", code.alias("code"))
 
 
-def _grouped(batches, names):
-    for batch in batches:
-        yield from zip(*(batch.column(c).to_pylist() for c in names))
-
-
-def _rows(found: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = zip(*found) if found else [[] for _ in schema]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
-
-
-#: Rows that a task hands on at once, and letters of their blocks.
-BATCH, LETTERS = 2000, 4_000_000
-
-
-def _map_rows(df: DataFrame, make, schema: str) -> DataFrame:
-    """``mapInArrow`` by a generator of tuples from tuples, in batches of bounded size."""
-    kinds = T.StructType.fromDDL(schema)
-    arrow, names = to_arrow_schema(kinds), df.columns
-
-    def run(batches):
-        found, size = [], 0
-        for row in make(_grouped(batches, names)):
-            found.append(row)
-            size += sum(len(v) for v in row if isinstance(v, (str, list)))
-            if len(found) >= BATCH or size >= LETTERS:
-                yield _rows(found, arrow)
-                found, size = [], 0
-        if found:
-            yield _rows(found, arrow)
-
-    return map_arrow(df, run, kinds)
-
-
 def _edits(codes: DataFrame, unit: int) -> DataFrame:
     """``(at, edits)``: what becomes of each row."""
     kind = dict(codes.dtypes)["conv_id"]
@@ -256,15 +220,15 @@ def _edits(codes: DataFrame, unit: int) -> DataFrame:
             state = states[state]
 
     base = f"conv_id {kind}, block bigint, codes string, ats array<bigint>"
-    known = stage(_map_rows(blocks, costs, f"{base}, costs array<bigint>"), "repair-blocks")
+    known = stage(map_rows(blocks, costs, f"{base}, costs array<bigint>"), "repair-blocks")
     # Only sums over blocks go through the two scans; ties of null keys are one group.
     turned = known.repartition("conv_id").sortWithinPartitions("conv_id", F.col("block").desc())
-    ends = _map_rows(turned, backward, f"{base}, ends array<bigint>, last boolean")
-    walked = _map_rows(
+    ends = map_rows(turned, backward, f"{base}, ends array<bigint>, last boolean")
+    walked = map_rows(
         ends.repartition(F.col("conv_id"), F.col("block")), walks,
         f"conv_id {kind}, block bigint, ats array<bigint>, every array<string>, states array<int>",
     )
-    met = _map_rows(
+    met = map_rows(
         walked.repartition("conv_id").sortWithinPartitions("conv_id", "block"), forward,
         "ats array<bigint>, edits array<string>",
     )
@@ -372,7 +336,7 @@ def audit(repaired: DataFrame) -> DataFrame:
 
     kind = dict(repaired.dtypes)["conv_id"]
     ordered = repaired.select("conv_id", "at", "turn", "role", "text", "fault", "edits").repartition("conv_id")
-    return _map_rows(
+    return map_rows(
         ordered.sortWithinPartitions("conv_id", "at"), run,
         f"conv_id {kind}, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, "
         "audit string, repaired_sha256 string",
