@@ -22,6 +22,8 @@ from docketry.plans.sizes import semi_or_anti
 from docketry.session import shared_dir, ship_package
 
 KEY = ["point_id"]
+#: Buckets of a stored index, by the hash of the point's id.
+BUCKETS = 32
 QUERY_BYTES = 32 * 1024 * 1024
 TILE_ROWS = 20_000
 #: Numbers in one block of scores of queries against vectors: 32 MB of doubles.
@@ -38,8 +40,14 @@ def assign_point_ids(rows: DataFrame, order: Sequence[str], offset: int = 0,
     No single task sees all rows: the rows are range-partitioned (a full order
     key splits even a source that holds most of them), numbered inside each
     partition and shifted by the sizes of the partitions before.  The numbered
-    rows are checkpointed, so a lost executor cannot change them.
+    rows are checkpointed, so a lost executor cannot change them.  Where a ``chunk_id`` tells
+    rows apart only it and the order are sorted and checkpointed, and the ids are
+    joined back: vectors and texts are neither sorted nor written.
     """
+    if "chunk_id" in rows.columns and set(rows.columns) - {"chunk_id", *order}:
+        narrow = rows.select("chunk_id", *(c for c in order if c != "chunk_id"))
+        ids = assign_point_ids(narrow, [*order, "chunk_id"], offset, out).select("chunk_id", out)
+        return rows.join(ids, "chunk_id")
     shared_dir(rows.sparkSession)
     local = F.monotonically_increasing_id()
     numbered = (
@@ -79,12 +87,17 @@ def to_points(chunks: DataFrame) -> DataFrame:
 
 
 def append_points(existing: DataFrame | None, chunks: DataFrame,
-                  order: Sequence[str] = ("source", "section_ix", "chunk_ix")) -> DataFrame:
+                  order: Sequence[str] = ("source", "section_ix", "chunk_ix"),
+                  top: int | None = None) -> DataFrame:
     """Points for new chunks.  A chunk already indexed keeps its id; the others get
-    ids after the highest one in use, so deleting never makes ids collide."""
+    ids after the highest one in use, so deleting never makes ids collide.
+
+    ``top`` is that id where the caller knows it.
+    """
     if existing is None:
         return to_points(assign_point_ids(chunks, order))
-    top = existing.agg(F.max("point_id")).first()[0]
+    if top is None:
+        top = existing.agg(F.max("point_id")).first()[0]
     offset = 0 if top is None else top + 1
     # Only the index rows of these very chunks take part in the join.
     mine = semi_or_anti(
@@ -106,35 +119,47 @@ def write_vectors(spark: SparkSession, chunks: DataFrame, path: str,
     batch = tables.next_batch(spark, path) if batch is None else batch
     if chunks.isEmpty() and (removed is None or removed.isEmpty()):
         return batch
-    points = append_points(existing, chunks).withColumn("deleted", F.lit(False))
+    top = tables.state(spark, path).top.get("point_id")
+    points = append_points(existing, chunks, top=top).withColumn("deleted", F.lit(False))
     if removed is not None:
         gone = removed.select("point_id", F.lit(True).alias("deleted"))
         points = points.unionByName(gone, allowMissingColumns=True)
-    tables.write_batch(points, path, batch)
+    _write(points, path, batch)
     return batch
 
 
+def _write(points: DataFrame, path: str, batch: int) -> None:
+    tables.write_batch(points, path, batch, buckets=BUCKETS, key=KEY, top="point_id")
+
+
+def read_points(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame | None:
+    """The points of ``ids(point_id)``; only the buckets those are in are read."""
+    return tables.read_keys(spark, path, ids.select(*KEY).distinct())
+
+
 def read_vectors(spark: SparkSession, path: str) -> DataFrame | None:
     return tables.read_current(spark, path, KEY)
 
 
 def upsert_vectors(spark: SparkSession, points: DataFrame, path: str) -> int:
-    """Put points in by id: one row or many.  Of rows that repeat an id the last one wins."""
+    """Put points in by id: one row or many.  Of rows that repeat an id the last one wins.
+
+    Nothing of the index is read; the batch has the buckets of its ids only, and shadows
+    what is there.  A point without a vector gets that of its text, see ``embed_missing``.
+    """
     batch = tables.next_batch(spark, path)
     rows = to_points(points)
     rest = [c for c in rows.columns if c not in KEY]
     rows = rows.withColumn("_place", F.monotonically_increasing_id())
     last = F.max_by(F.struct(*rest), "_place").alias("_row")
-    tables.write_batch(rows.groupBy(*KEY).agg(last).select(*KEY, "_row.*"), path, batch)
+    _write(rows.groupBy(*KEY).agg(last).select(*KEY, "_row.*"), path, batch)
     return batch
 
 
 def delete_vectors(spark: SparkSession, ids: DataFrame, path: str) -> int:
     """Remove the points whose ids are listed."""
     batch = tables.next_batch(spark, path)
-    tables.write_batch(
-        ids.select("point_id").distinct().withColumn("deleted", F.lit(True)), path, batch
-    )
+    _write(ids.select("point_id").distinct().withColumn("deleted", F.lit(True)), path, batch)
     return batch
 
 

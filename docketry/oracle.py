@@ -437,3 +437,6 @@ ORACLE: dict[str, str] = {
     "ingest_batch": INGESTED,
     "ingest_stream": INGESTED,
 }
+
+# A stored index is searched another way, with the same hits.
+ORACLE["search_lexical_stored"] = ORACLE["search_lexical"]
