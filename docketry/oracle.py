@@ -7,6 +7,8 @@ row-wise work), so that agreement says something.
 
 from __future__ import annotations
 
+from docketry.functions import fixed_values as fixed
+
 WS = r"\t-\r\x1c-\x1f\x{85}\p{Z}"
 S = f"[{WS}]"
 NL = "chr(10)"
@@ -296,6 +298,7 @@ ORACLE: dict[str, str] = {
   ELSE 'Unsupported file type: .gz' END AS error FROM listing""",
     "list_files": FOLDERS,
     "scan_files": FOLDERS,
+    "stream_files": FOLDERS,
     "extract_pages": """SELECT concat('pages/', page_id, '.html') AS source,
  1::BIGINT AS page_no, html AS text FROM pages""",
     "quarantine": f"""SELECT outcome, count(*) AS n_files FROM (
@@ -436,6 +439,13 @@ ORACLE: dict[str, str] = {
  'cosine' AS metric, 'ready' AS status FROM embeddings""",
     "ingest_batch": INGESTED,
     "ingest_stream": INGESTED,
+    "ingest_folder": f"""
+ SELECT run_id, 'success' AS status, method, n AS files_processed, 1::BIGINT AS batches_processed, n AS total_pages,
+  (SELECT count(DISTINCT conv_id) FROM conversations) AS files_marked
+ FROM (
+  SELECT 'run-0' AS run_id, '{fixed.METHOD_FULL}' AS method, count(DISTINCT conv_id) AS n FROM conversations WHERE conv_id % 3 = 0
+  UNION ALL SELECT 'run-1', '{fixed.METHOD_LIMITED}', count(DISTINCT conv_id) FROM conversations WHERE conv_id % 3 > 0
+  UNION ALL SELECT 'run-2', '{fixed.METHOD_LIMITED}', 0)""",
 }
 
 # A stored index is searched another way, with the same hits.

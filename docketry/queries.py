@@ -131,6 +131,19 @@ def scan_files(spark, sf_dir):
     return _by_folder(scanned.withColumn("size_bytes", F.length("content").cast("bigint")))
 
 
+@query
+def stream_files(spark, sf_dir):
+    """The same files as a stream of micro-batches: bytes of content per folder."""
+    root, out = _document_store(spark, sf_dir), new_work_dir(spark, "streamed")
+    rows = files.stream_files(spark, root, batch_size=5, extensions=[".txt"]).select("file_name", "content")
+    (
+        rows.writeStream.format("parquet").option("checkpointLocation", f"{out}/_checkpoint")
+        .trigger(availableNow=True).start(f"{out}/files").awaitTermination()
+    )
+    taken = spark.read.schema(rows.schema).parquet(f"{out}/files")
+    return _by_folder(taken.withColumn("size_bytes", F.length("content").cast("bigint")))
+
+
 @query
 def extract_pages(spark, sf_dir):
     """Web pages as files through the pluggable extractor."""
@@ -611,3 +624,22 @@ def ingest_stream(spark, sf_dir):
     incoming = spark.readStream.schema(opinions.schema).option("maxFilesPerTrigger", "2").parquet(source)
     stream_ingest.run_stream(incoming, out).awaitTermination()
     return _ingest_totals(spark, out)
+
+
+@query
+def ingest_folder(spark, sf_dir):
+    """Conversations as stored files: a full run, then delta runs over what is new, and over nothing."""
+    store, out = new_work_dir(spark, "store"), new_work_dir(spark, "ingest")
+    turns = views.table(spark, sf_dir, "conversations").select(
+        "conv_id", F.concat_ws(": ", "role", F.regexp_replace("text", r"\s+", " ")).alias("value")
+    ).repartition("conv_id")
+    steps = ingest.Steps(supported=[".txt"])
+    for n, (mode, some) in enumerate([("full", "conv_id % 3 = 0"), ("delta", "conv_id % 3 > 0"), ("delta", "conv_id < 0")]):
+        turns.where(some).write.mode("append").partitionBy("conv_id").text(store)
+        ingest.ingest(spark, store, out, run_id=f"run-{n}", mode=mode, steps=steps)
+    runs = ingest.read_runs(spark, out)
+    done = ledger.ingested_files(ledger.ledger_state(ledger.read_ledger(spark, f"{out}/ledger")))
+    return runs.select(
+        "run_id", "status", "method", "files_processed", "batches_processed", "total_pages",
+        done.agg(F.count(F.lit(1))).scalar().alias("files_marked"),
+    )
