@@ -10,6 +10,10 @@ space mark after another character, every path passes the place before a word; t
 holds around a character that is in no longer piece.  Between two such places the result
 depends on the characters there alone, so it is remembered, up to a bound.
 
+A text may keep its paths apart for long, such as one character repeated.  Convergence is
+then looked for each time the open part has doubled, so that all looking takes no longer
+than following the pieces; the window is as long as the paths need.
+
 Scores are the model's log-probabilities.  A file of a BPE model holds ranks instead; a
 piece of rank r then has the probability Zipf's law gives it, 1 / (r + 2) up to a factor.
 No model is trained, and the ids need not be those of BPE merging.
@@ -22,6 +26,7 @@ decoding gives back the text exactly.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -52,13 +57,13 @@ class Vocabulary:
         self.scores = {p: scores[i] for p, i in self.pieces.items()}
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.pieces), default=1)
-        # A tree of the pieces' characters: to each its score, minus infinity if no piece ends there, and what follows.
+        # A tree of the pieces' characters: to each its score, minus infinity if no piece ends there, what follows, and the id.
         self.tree: dict[str, tuple] = {}
         for piece in sorted(self.pieces):
             level = self.tree
             for n, char in enumerate(piece, 1):
                 if char not in level:
-                    level[char] = (self.scores.get(piece[:n], float("-inf")), {})
+                    level[char] = (self.scores.get(piece[:n], float("-inf")), {}, self.pieces.get(piece[:n], -1))
                 level = level[char][1]
         self.marks_lead = not any(MARK in p.lstrip(MARK) for p in self.pieces)
         alone = not any("\n" in p for p in self.pieces if len(p) > 1)
@@ -85,6 +90,7 @@ class StreamingViterbi:
         self.done = 0  # positions from which all pieces are already followed
         self.best = [0.0]
         self.back: list[int] = [0]  # start of the best piece that ends at each position
+        self.look = self.v.longest  # positions from which convergence is looked for
 
     def _grow(self, final: bool) -> None:
         """Follow the pieces from every position whose longest piece is known to be in the text."""
@@ -102,7 +108,7 @@ class StreamingViterbi:
                 if step is None:
                     break
                 end += 1
-                score, level = step
+                score, level, _ = step
                 score += base
                 if score > best[end]:
                     best[end], back[end] = score, i
@@ -134,9 +140,10 @@ class StreamingViterbi:
         """Add text; the ids that no later text can change."""
         self.text += text
         self._grow(final=False)
-        if self.done <= self.v.longest:
+        if self.done <= self.look:
             return []
         at = self._converged()
+        self.look = max(self.v.longest, 2 * (self.done - at))
         if not at:
             return []
         out = self._ids(at)
@@ -147,6 +154,34 @@ class StreamingViterbi:
         self.done -= at
         return out
 
+    def whole(self, text: str) -> list[int]:
+        """The ids of a text shorter than any window, in one go."""
+        v, n = self.v, len(text)
+        tree, scores, unknown, longest = v.tree, v.scores, v.unknown, v.longest
+        best, back, made = [float("-inf")] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        best[0] = 0.0
+        for i, first in enumerate(text):
+            base, level, end = best[i], tree, i
+            for char in text[i : i + longest]:
+                step = level.get(char)
+                if step is None:
+                    break
+                end += 1
+                score, level, piece = step
+                if base + score > best[end]:
+                    best[end], back[end], made[end] = base + score, i, piece
+            if first not in scores and base + unknown > best[i + 1]:
+                best[i + 1], back[i + 1], made[i + 1] = base + unknown, i, -1
+        ids, at = [], n
+        while at:
+            if made[at] >= 0:
+                ids.append(made[at])
+            else:
+                ids += [v.byte_ids[x] for x in reversed(text[back[at] : at].encode("utf-8", "replace"))]
+            at = back[at]
+        ids.reverse()
+        return ids
+
     def finish(self, text: str = "") -> list[int]:
         """Add the last text; the ids of all that is left."""
         self.text += text
@@ -166,28 +201,35 @@ class Encoder(TaskCache):
         self.v = vocabulary
         self.search = StreamingViterbi(vocabulary)
 
-    def __missing__(self, stretch: str) -> list[int]:
+    def __missing__(self, stretch: str) -> bytes:
         if len(self) >= CACHE:
             self.clear()
         ids: list[int] = []
-        for at in range(0, len(stretch) - self.STEP, self.STEP):
-            ids += self.search.feed(stretch[at : at + self.STEP])
-        ids += self.search.finish(stretch[len(stretch) - 1 - (len(stretch) - 1) % self.STEP :])
+        if len(stretch) <= self.STEP:
+            ids = self.search.whole(stretch)
+        else:
+            for at in range(0, len(stretch) - self.STEP, self.STEP):
+                ids += self.search.feed(stretch[at : at + self.STEP])
+            ids += self.search.finish(stretch[len(stretch) - 1 - (len(stretch) - 1) % self.STEP :])
+        made = array("i", ids).tobytes()
         if len(stretch) <= 64:
-            self[stretch] = ids
-        return ids
+            self[stretch] = made
+        return made
 
-    def of(self, text: str) -> list[int]:
+    def raw(self, text: str) -> bytes:
+        """The ids of a text as bytes of 32-bit numbers."""
         if not text:
-            return []
-        out: list[int] = []
+            return b""
+        out: list[bytes] = []
         for n, part in enumerate(text.split(MARK)):
             if n:
-                out.extend(self.v.byte_ids[b] for b in MARK.encode())
+                out.append(array("i", (self.v.byte_ids[b] for b in MARK.encode())).tobytes())
             marked = part.replace(" ", MARK)
-            for ids in map(self.__getitem__, self.v.cut.findall(marked if n else MARK + marked)):
-                out += ids
-        return out
+            out += map(self.__getitem__, self.v.cut.findall(marked if n else MARK + marked))
+        return b"".join(out)
+
+    def of(self, text: str) -> list[int]:
+        return array("i", self.raw(text)).tolist()
 
 
 def decode_ids(ids: Iterable[int], vocabulary: Vocabulary) -> str:
@@ -213,9 +255,9 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         encoder = encoder_of(model)
         for batch in batches:
-            parts = [np.array(encoder.of(text), np.int32) for text in texts(batch)]
-            ends = np.cumsum([0, *map(len, parts)])
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *parts])))
+            parts = [encoder.raw(text) for text in texts(batch)]
+            ends = np.cumsum([0, *map(len, parts)]) // 4
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=["doc_id", "ids"])
 
     return map_arrow(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), run, "doc_id bigint, ids array<int>")

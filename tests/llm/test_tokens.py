@@ -304,3 +304,19 @@ def test_bpe_of_the_whole_table(spark, sf):
 def test_files_the_index_cannot_follow_are_refused(tmp_path):
     with pytest.raises(ValueError, match="plain byte-level"):
         bpe.Vocabulary(WORD_BPE)
+
+
+@pytest.mark.parametrize("unbroken", ["=", "-", "a", " ", "x1"])
+def test_sentencepiece_is_linear_in_unbroken_text(unbroken):
+    """The paths of such a text never meet; looking for that must not cost more with each step."""
+    encoder = sentencepiece.Encoder(sentencepiece.Vocabulary(PIECES))
+
+    def seconds(n):
+        begun = time.process_time()
+        ids = encoder.of(unbroken * (n // len(unbroken)))
+        spent = time.process_time() - begun
+        assert sentencepiece.decode_ids(ids, encoder.v) == unbroken * (n // len(unbroken))
+        return spent
+
+    short = seconds(50_000)
+    assert seconds(400_000) < 16 * short + 1
