@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -141,18 +141,29 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame | None:
     return tables.read_current(spark, path, KEY)
 
 
-def upsert_vectors(spark: SparkSession, points: DataFrame, path: str) -> int:
+def embed_missing(points: DataFrame, embedder: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``points`` where those without a vector get that of their ``content``; the model sees no others."""
+    missing = points.where(F.col("vector").isNull()).drop("vector")
+    made = embedder(missing).select(*points.columns)
+    return points.where(F.col("vector").isNotNull()).unionByName(made)
+
+
+def upsert_vectors(spark: SparkSession, points: DataFrame, path: str,
+                   embedder: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Put points in by id: one row or many.  Of rows that repeat an id the last one wins.
 
     Nothing of the index is read; the batch has the buckets of its ids only, and shadows
-    what is there.  A point without a vector gets that of its text, see ``embed_missing``.
+    what is there.  With an ``embedder`` points without a vector get that of their text.
     """
     batch = tables.next_batch(spark, path)
     rows = to_points(points)
     rest = [c for c in rows.columns if c not in KEY]
     rows = rows.withColumn("_place", F.monotonically_increasing_id())
     last = F.max_by(F.struct(*rest), "_place").alias("_row")
-    _write(rows.groupBy(*KEY).agg(last).select(*KEY, "_row.*"), path, batch)
+    rows = rows.groupBy(*KEY).agg(last).select(*KEY, "_row.*")
+    if embedder is not None:
+        rows = embed_missing(tables.written(rows, "upserted"), embedder)
+    _write(rows, path, batch)
     return batch
 
 

@@ -299,6 +299,7 @@ ORACLE: dict[str, str] = {
     "list_files": FOLDERS,
     "scan_files": FOLDERS,
     "stream_files": FOLDERS,
+    "scan_glob": FOLDERS,
     "extract_pages": """SELECT concat('pages/', page_id, '.html') AS source,
  1::BIGINT AS page_no, html AS text FROM pages""",
     "quarantine": f"""SELECT outcome, count(*) AS n_files FROM (
@@ -377,6 +378,22 @@ ORACLE: dict[str, str] = {
   SELECT source, s // 112 AS chunk_ix, array_to_string(t[s + 1 : s + 128], '') AS content
   FROM starts WHERE s = 0 OR s + 16 < len(t))
  SELECT source, chunk_ix, sha256(concat_ws(chr(1), source, '0', chunk_ix)) AS chunk_id, content FROM windows""",
+    "chunk_words": """WITH toks AS (
+  SELECT doc_id::VARCHAR AS source, list_filter(regexp_extract_all(text, '[^ ]* *'), lambda w: w <> '') AS t FROM documents),
+ starts AS (SELECT source, t, unnest(range(0, len(t), 40)) AS s FROM toks)
+ SELECT source, s // 40 AS chunk_ix, array_to_string(t[s + 1 : s + 50], '') AS content
+ FROM starts WHERE s = 0 OR s + 10 < len(t)""",
+    "embed_with_model": """SELECT doc_id AS chunk_id, length(text) AS n_chars,
+ length(text) - length(replace(text, 'a', '')) AS n_a, length(text) - length(replace(text, 'e', '')) AS n_e FROM documents""",
+    "check_dimension_misfits": """SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN 63 ELSE -1 END::BIGINT AS n FROM embeddings
+ WHERE vec_id % 7 = 0 OR vec_id % 11 = 0""",
+    "update_points": f"""WITH {TOKENS}, {HASHED}
+ SELECT doc_id AS point_id, array_to_string(vector, ',') AS vector FROM vec JOIN documents USING (doc_id) WHERE lang = 'fr'""",
+    "drop_index": """SELECT count(*) AS n_points, count(*) AS indexed, true AS dropped, false AS dropped_again,
+ false AS "left" FROM embeddings""",
+    "reset_ingested_first": f"""WITH {LISTING}, {EVENT_LOG}
+ SELECT file_name, false AS ingested FROM (SELECT file_name FROM listing ORDER BY file_name LIMIT 500)
+ WHERE file_name IN (SELECT file_name FROM state WHERE ingested)""",
     "tokenize_documents": f"""WITH {TOKENS}
  SELECT doc_id, coalesce(array_to_string(tokens, ' '), '') AS tokens FROM tok""",
     "embed_documents": f"""WITH {TOKENS}, {HASHED}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,6 +132,13 @@ def scan_files(spark, sf_dir):
     return _by_folder(scanned.withColumn("size_bytes", F.length("content").cast("bigint")))
 
 
+@query
+def scan_glob(spark, sf_dir):
+    """The same files by a glob on their names."""
+    scanned = files.scan_files(spark, _document_store(spark, sf_dir), glob="part-*.{txt,pdf}")
+    return _by_folder(scanned.withColumn("size_bytes", F.length("content").cast("bigint")))
+
+
 @query
 def stream_files(spark, sf_dir):
     """The same files as a stream of micro-batches: bytes of content per folder."""
@@ -224,6 +232,14 @@ def reset_ingested(spark, sf_dir):
     return ledger.reset_events(views.listing(spark, sf_dir), state).select("file_name", "ingested")
 
 
+@query
+def reset_ingested_first(spark, sf_dir):
+    """A reset that looks at the first 500 names only, ingested or not."""
+    listing = views.listing(spark, sf_dir)
+    state = ledger.ledger_state(views.ledger_events(spark, sf_dir))
+    return ledger.reset_events(listing, state, 500, extensions=None).select("file_name", "ingested")
+
+
 # --- metadata, sections, cleaning, annotation ---------------------------------------------
 
 def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,6 +371,18 @@ def chunk_tokens(spark, sf_dir):
     )
 
 
+@query
+def chunk_words(spark, sf_dir):
+    """Token windows over another tokenizer's pieces: words with the white space behind them."""
+    docs = views.documents(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("source"), F.lit(0).alias("section_ix"), "text"
+    )
+    words = F.regexp_extract_all("text", F.lit("[^ ]* *"), F.lit(0))
+    return chunk.chunk_tokens(docs, size=50, overlap=10, tokens=F.filter(words, lambda w: w != "")).select(
+        "source", *_bigint("chunk_ix"), "content"
+    )
+
+
 @query
 def tokenize_documents(spark, sf_dir):
     docs = views.documents(spark, sf_dir)
@@ -383,6 +411,26 @@ def embed_documents(spark, sf_dir):
     )
 
 
+@query
+def embed_with_model(spark, sf_dir):
+    """A model plugged in: counts of characters and of two vowels."""
+    def make_fn():
+        return lambda texts: np.array([[len(t), t.count("a"), t.count("e")] for t in texts], np.float32)
+
+    return embed.embed(_document_chunks(spark, sf_dir), make_fn=make_fn).select(
+        "chunk_id", *(F.get("vector", F.lit(i)).cast("bigint").alias(n) for i, n in enumerate(("n_chars", "n_a", "n_e")))
+    )
+
+
+@query
+def check_dimension_misfits(spark, sf_dir):
+    """Vectors of which some are cut short and some are missing."""
+    short = F.when(F.col("vec_id") % 7 == 0, F.slice("embedding", 1, 63)).when(F.col("vec_id") % 11 != 0, F.col("embedding"))
+    rows = views.table(spark, sf_dir, "embeddings").select("vec_id", short.alias("vector"))
+    _, bad = embed.check_dimension(rows, VECTOR_DIM)
+    return bad.select("vec_id", F.coalesce(F.size("vector"), F.lit(-1)).cast("bigint").alias("n"))
+
+
 @query
 def check_dimension(spark, sf_dir):
     good, bad = embed.check_dimension(
@@ -574,6 +622,43 @@ def vector_table(spark, sf_dir):
     )
 
 
+@query
+def update_points(spark, sf_dir):
+    """Points that get a new text and no vector: the index has the vector of the new text."""
+    path = new_work_dir(spark, "vectors")
+    docs = views.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("point_id"), F.col("doc_id").cast("string").alias("chunk_id"), F.col("text").alias("content"), "lang"
+    )
+
+    def embedder(df):
+        return embed.embed(df, dim=VECTOR_DIM)
+
+    vectors.upsert_vectors(spark, embedder(docs.withColumn("content", F.lower("lang"))), path)
+    french = docs.where("lang = 'fr'")
+    vectors.upsert_vectors(spark, french.withColumn("vector", F.lit(None).cast("array<float>")), path, embedder)
+    found = vectors.read_points(spark, path, french)
+    text = F.array_join(F.transform("vector", lambda x: x.cast("int").cast("string")), ",")
+    return found.select("point_id", text.alias("vector"))
+
+
+@query
+def drop_index(spark, sf_dir):
+    """An index that is dropped is gone; dropping it again finds nothing."""
+    path = new_work_dir(spark, "vectors")
+    points = views.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("point_id"), F.col("vec_id").cast("string").alias("chunk_id"),
+        F.lit("").alias("content"), F.col("embedding").alias("vector"),
+    )
+    vectors.upsert_vectors(spark, points, path)
+    before = vectors.read_vectors(spark, path).count()
+    first, again = vectors.drop_index(spark, path), vectors.drop_index(spark, path)
+    left = vectors.read_vectors(spark, path) is not None
+    return points.agg(F.count(F.lit(1)).alias("n_points")).select(
+        "n_points", F.lit(before).cast("bigint").alias("indexed"), F.lit(first).alias("dropped"),
+        F.lit(again).alias("dropped_again"), F.lit(left).alias("left"),
+    )
+
+
 @query
 def index_stats(spark, sf_dir):
     return vectors.index_stats(views.vectors(spark, sf_dir)).select(
