@@ -328,6 +328,9 @@ ORACLE: dict[str, str] = {
   round(sum(size_bytes) / 1048576.0::DOUBLE / count(*), 2) AS average_file_size_mb FROM flagged""",
     "ledger_state": f"""WITH {EVENT_LOG}
  SELECT file_name, ingested, strftime(ingested_at, '%Y-%m-%d %H:%M:%S.%f') AS ingested_at,
+  strftime(reset_at, '%Y-%m-%d %H:%M:%S.%f') AS reset_at FROM state""",
+    "ledger_snapshot": f"""WITH {EVENT_LOG}
+ SELECT file_name, strftime(ingested_at, '%Y-%m-%d %H:%M:%S.%f') AS ingested_at,
   strftime(reset_at, '%Y-%m-%d %H:%M:%S.%f') AS reset_at FROM state""",
     "reset_ingested": f"""WITH {LISTING}, {EVENT_LOG}
  SELECT file_name, false AS ingested FROM listing

@@ -225,6 +225,23 @@ def ledger_state(spark, sf_dir):
     )
 
 
+@query
+def ledger_snapshot(spark, sf_dir):
+    """The same state from a stored ledger: events of eight runs, the state read in between and again."""
+    path = new_work_dir(spark, "ledger")
+    events = views.ledger_events(spark, sf_dir)
+    part = F.pmod(F.col("run_id").cast("bigint"), F.lit(8))
+    for n in range(8):
+        ledger.append_events(events.where(part == n).drop("run_id"), path, f"run-{n}")
+        if n == 4:
+            ledger.stored_state(spark, path, snapshot_every=3)
+    return ledger.stored_state(spark, path, snapshot_every=3).select(
+        "file_name",
+        F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ingested_at"),
+        F.date_format("reset_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("reset_at"),
+    )
+
+
 @query
 def reset_ingested(spark, sf_dir):
     """Files the reset tool turns back."""

@@ -2,11 +2,12 @@
 
 import random
 import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from docketry.operators import lexical, vectors
+from docketry.operators import ledger, lexical, vectors
 from docketry.plans import log, tables
 from docketry.plans.ingest import ingest_files
 from docketry.session import new_work_dir
@@ -213,3 +214,60 @@ def test_block_search_gives_the_hits_of_a_full_search(spark):
     common = queries.where("query_id = 1")
     search = lexical.search_blocks(lexical._Asked.of(stored, common, 1.2, 0.75, "text"), 10)
     assert search.first.count() + search.rest.count() < search.blocks.count() / 2
+
+
+# --- snapshots of the ledger -----------------------------------------------------------
+
+
+def test_snapshot_and_tail_give_the_state_of_all_events(spark):
+    rng, path = random.Random(5), new_work_dir(spark, "ledger")
+    assert ledger.stored_state(spark, path).collect() == []
+
+    def rows(frame):
+        return sorted(map(tuple, frame.select("file_name", "ingested", "ingested_at", "reset_at").collect()))
+
+    for n in range(14):
+        # Times repeat, go back, and some runs are written twice.
+        events = [(f"f{rng.randrange(12)}", rng.random() < 0.6, datetime(2024, 1, 1, 0, rng.randrange(40))) for _ in range(5)]
+        frame = spark.createDataFrame(events, "file_name string, ingested boolean, event_ts timestamp")
+        frame = frame.groupBy("file_name").agg(F.max_by("ingested", "event_ts").alias("ingested"), F.max("event_ts").alias("event_ts"))
+        for _ in range(rng.choice([1, 2])):
+            ledger.append_events(frame, path, f"run-{n:02}", rng.choice([ledger.INGESTED, ledger.RESET]))
+        if n % 3 == 2:
+            assert rows(ledger.stored_state(spark, path, 4)) == rows(ledger.ledger_state(ledger.read_ledger(spark, path)))
+    _, told = ledger._log(spark, path).last()
+    assert told["snapshot"] and len(told["tail"]) < 8
+    # Later reads take the snapshot and the folders after it, not the whole log.
+    tail = {f.split("run_id=")[1].split("/")[0] for f in ledger.stored_state(spark, path).inputFiles() if "run_id=" in f}
+    assert tail == {f.split("/")[0].removeprefix("run_id=") for f in told["tail"]}
+
+
+def test_runs_that_add_events_at_a_time_lose_none(spark, monkeypatch):
+    path = new_work_dir(spark, "ledger")
+    frame = spark.createDataFrame([("a", True, datetime(2024, 1, 1))], "file_name string, ingested boolean, event_ts timestamp")
+    ledger.append_events(frame, path, "one")
+    commit, lost = log.Log.commit, []
+
+    def race(self, version, told):
+        if not lost:
+            lost.append(version)
+            commit(self, version, {"snapshot": None, "tail": ["run_id=one/kind=ingested", "run_id=other/kind=ingested"]})
+        commit(self, version, told)
+
+    monkeypatch.setattr(log.Log, "commit", race)
+    ledger.append_events(frame, path, "two")
+    assert ledger._log(spark, path).last()[1]["tail"] == [f"run_id={r}/kind=ingested" for r in ("one", "other", "two")]
+
+
+def test_points_without_a_vector_get_that_of_their_text(spark):
+    path, seen = new_work_dir(spark, "vectors"), []
+
+    def embedder(df):
+        seen.extend(r["point_id"] for r in df.collect())
+        return df.withColumn("vector", F.array(F.length("content").cast("float")))
+
+    rows = [(1, "one", [7.0]), (2, "three", None), (3, "x", [9.0]), (3, "four", None)]
+    points = spark.createDataFrame([(i, str(i), c, v) for i, c, v in rows], "point_id long, chunk_id string, content string, vector array<float>")
+    vectors.upsert_vectors(spark, points.coalesce(1), path, embedder)
+    assert {r["point_id"]: r["vector"] for r in vectors.read_vectors(spark, path).collect()} == {1: [7.0], 2: [5.0], 3: [4.0]}
+    assert set(seen) == {2, 3}
