@@ -13,10 +13,10 @@ from docketry.llm import (
     structure_repair, toxicity,
 )
 from docketry.llm.common import table
+from docketry.llm.oracle import ORACLE  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
