@@ -76,6 +76,7 @@ class Vocabulary:
             self.bytes[i] = piece.replace(MARK, " ").encode()
         for b, i in enumerate(self.byte_ids):
             self.bytes[i] = bytes([b])
+        self.table = np.array(self.bytes, object)
 
 
 class StreamingViterbi:
@@ -232,11 +233,12 @@ class Encoder(TaskCache):
         return array("i", self.raw(text)).tolist()
 
 
-def decode_ids(ids: Iterable[int], vocabulary: Vocabulary) -> str:
+def decode_ids(ids: Iterable[int] | np.ndarray, vocabulary: Vocabulary) -> str:
     """The text of ids; bytes are put together, the mark in front goes.  Unknown ids are nothing."""
-    known = vocabulary.bytes
-    raw = b"".join([known[i] for i in ids if 0 <= i < len(known)])
-    text = raw.decode("utf-8", "replace")
+    numbers = np.asarray(ids, np.int64)
+    if len(numbers) and (numbers.min() < 0 or numbers.max() >= len(vocabulary.table)):
+        numbers = numbers[(numbers >= 0) & (numbers < len(vocabulary.table))]
+    text = b"".join(vocabulary.table[numbers].tolist()).decode("utf-8", "replace")
     return text[1:] if text.startswith(" ") else text
 
 
@@ -268,7 +270,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         vocabulary = encoder_of(model).v
         for batch in batches:
-            made = [decode_ids(ids.values.to_pylist() if ids.is_valid else [], vocabulary) for ids in batch.column("ids")]
+            made = [decode_ids(ids.values.fill_null(-1).to_numpy() if ids.is_valid else [], vocabulary) for ids in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(made, pa.string())],
                                              names=["doc_id", "ids", "text"])
 
