@@ -10,7 +10,10 @@ from __spark_entry__ import entry, oracle_sql, queries
 from check import normalized
 
 # The queries that write and read back whole indexes have tests of their own.
-SLOW = {"upsert_points", "lexical_append", "ingest_batch", "ingest_stream", "vector_table", "list_files", "scan_files"}
+SLOW = {
+    "upsert_points", "lexical_append", "search_lexical_stored", "ingest_batch", "ingest_stream", "ingest_folder", "vector_table",
+    "list_files", "scan_files",
+}
 NAMES = [n for n in queries() if n not in SLOW]
 
 
