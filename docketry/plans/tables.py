@@ -152,8 +152,9 @@ def write_batch(df: DataFrame, path: str, batch: int, kind: str | None = None,
     added = _folder_of(spark, folder, Folder(batch, kind, name, compacted=compacted), bool(now.buckets))
     high = {}
     if top is not None and not added.empty:
-        # One column of the rows just written.
-        high = {top: spark.read.schema(T.StructType([schema[top]])).parquet(folder).agg(F.max(top)).first()[0]}
+        # Two columns of the rows just written; a removal may name a key that never was.
+        narrow = spark.read.schema(T.StructType([schema[top], schema["deleted"]])).parquet(folder)
+        high = {top: narrow.where(~F.col("deleted")).agg(F.max(top)).first()[0]}
     kept = [f for f in now.folders if (f.kind, f.n) != (kind, batch)]
     if kind == "base":
         kept = [g for f in kept if f.n <= batch and (g := _without(f, added.parts)) is not None] + [f for f in kept if f.n > batch]
