@@ -33,8 +33,8 @@ from docketry.llm.common import TaskCache, map_arrow, texts
 
 #: Pieces a task remembers, and the longest of them in characters.
 CACHE, CACHED_CHARS = 400_000, 200
-#: Bytes that are merged at once, about.
-INDEXED = 4_000_000
+#: Characters of texts that are cut, and bytes of new pieces that are merged, at once, about.
+CUT, INDEXED = 4_000_000, 1_500_000
 #: White space of the byte-level pattern.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A space belongs to the word behind it; other white space before a word stands alone.
@@ -271,9 +271,17 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         mill = encoder(path)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(mill.encode(texts(batch)), pa.binary())], names=["doc_id", "ids"]
-            )
+            ids: list[bytes] = []
+            some: list[str] = []
+            size = 0
+            for text in texts(batch):
+                some.append(text)
+                size += len(text)
+                if size >= CUT:
+                    ids += mill.encode(some)
+                    some, size = [], 0
+            ids += mill.encode(some)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     kind = dict(docs.dtypes)["doc_id"]
     return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, ids binary")
