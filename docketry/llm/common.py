@@ -26,10 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written below the shared folder and read back: later steps start there."""
     folder = new_work_dir(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=codec)
     return read_back(df, folder)
 
 

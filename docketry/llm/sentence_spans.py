@@ -19,9 +19,11 @@ do 16 letters of a longer one.  Any common passage of ``4 * WINDOW - 3 + INSIDE_
 49 words holds such a run, wherever it begins; where it begins or ends inside a sentence of
 its host, fewer than ``2 * WINDOW`` words at that end may stay.
 
-Hashes of runs are first counted alone, an aggregate with partial sums, so a run that stands
-in a third of all documents is no large group; places are looked up only for runs seen
-more than once, and only rows that lose pieces are rewritten.
+Each task groups the runs of some rows, a chunk, by hash.  All but the first of a kind in the
+chunk are repeats for certain; the first ones go, once and packed in arrays, to the shard
+of their hash, where the first of all chunks is found.  So a run that stands in a third of
+all documents is one entry a chunk and no large group, and nothing is broadcast.  Shards
+and chunks grow in number, not in size.  Runs are the same if 96 bits of their hash are.
 """
 
 from __future__ import annotations
@@ -34,16 +36,19 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docketry.llm.common import CACHE_WORDS, TaskCache, map_arrow, stage
-from docketry.plans.sizes import is_small, semi_or_anti
 
 SPAN = 2
 #: Words a run must have, in ``SPAN`` sentences or more and inside one; shorter ones repeat by chance.
 SPAN_WORDS, INSIDE_WORDS = 12, 20
 WINDOW = 8
-BROADCAST_STARTS = 2_000_000
+#: Runs of a chunk, about (a text's runs stay together), and how many rows it spans at most.
+CHUNK_RUNS, CHUNK_ROWS = 500_000, 1 << 16
+#: Characters of all texts for each shard, about a million runs of spaced text.
+SHARD_CHARS = 16_000_000
+#: What a record holds: runs to compare, places that are repeats for certain, numbers of sentences.
+ASKED, SURE, COUNTS = 0, 1, 2
 
 #: Scripts without spaces between words: Thai to Tibetan, Burmese, Khmer, Chinese and Japanese.
 _DENSE = r"฀-࿿က-႟ក-៿⺀-⿿、-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿！-ﾟ\U00020000-\U0003ffff"
@@ -165,13 +170,21 @@ def _runs(sizes: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return both // (n + 1), both % (n + 1)
 
 
-def run_hashes(text: str):
-    """Spans of the pieces, number of sentences, first pieces and ends of the runs, and 128 bits for each run as two rows."""
+def _text_runs(text: str):
+    """Places of the words, first words of the pieces, spans of the pieces, number of sentences, first pieces and ends of the runs."""
     at, edges, sentence, spans = _pieces(text)
-    none = np.zeros(0, np.int64)
     if not len(at):
-        return spans, len(spans), none, none, none, none
+        none = np.zeros(0, np.int64)
+        return at, edges, spans, len(spans), none, none
     starts, ends = _runs(np.concatenate([[0], np.cumsum(_TOKENS.weight[at])])[edges], sentence)
+    return at, edges, spans, int(sentence[-1]) + 1, starts, ends
+
+
+def run_hashes(text: str):
+    """Spans of the pieces, number of sentences, first pieces and ends of the runs, and 128 bits for each run as two rows."""
+    at, edges, spans, n, starts, ends = _text_runs(text)
+    if not len(at):
+        return spans, n, starts, ends, starts, starts
     rows = []
     for part in (_TOKENS.high[at], _TOKENS.low[at]):
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * _UP.upto(len(at)))])[edges]
@@ -179,60 +192,184 @@ def run_hashes(text: str):
         rolled = (sums[ends] - sums[starts]) * _DOWN.upto(len(at))[edges[starts]]
         rolled = (rolled ^ (rolled >> np.uint64(32))) * np.uint64(_STEP)
         rows.append((rolled ^ (rolled >> np.uint64(29))).view(np.int64))
-    return spans, int(sentence[-1]) + 1, starts, ends, *rows
+    return spans, n, starts, ends, *rows
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers that are not negative, in as few bytes each as the largest needs."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
+
+def _unpack(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"u{len(raw) // n}").astype(np.uint64) if n else np.zeros(0, np.uint64)
+
 
+_RECORD = pa.schema([
+    ("shard", pa.int64()), ("base", pa.int64()), ("kind", pa.int32()), ("least", pa.int64()),
+    ("high", pa.binary()), ("low", pa.binary()), ("id", pa.binary()), ("off", pa.binary()), ("at", pa.binary()),
+])
+_RECORD_SQL = "shard bigint, base bigint, kind int, least bigint, high binary, low binary, id binary, off binary, at binary"
+_ANSWER = pa.schema([("base", pa.int64()), ("kind", pa.int32()), ("off", pa.binary()), ("at", pa.binary())])
+_ANSWER_SQL = "base bigint, kind int, off binary, at binary"
+_AGAIN = pa.schema([("row", pa.int64()), ("n_sentences", pa.int64()), ("again", pa.list_(pa.int32()))])
+_AGAIN_SQL = "row bigint, n_sentences bigint, again array<int>"
+
+
+class _Chunk:
+    """Runs of neighbouring rows until they go out as records."""
+
+    def __init__(self, base: int):
+        self.base, self.runs = base, 0
+        self.rows: list[tuple[int, int, int]] = []  # place after base, id, runs
+        self.counts: list[int] = []
+        self.high: list[np.ndarray] = []
+        self.low: list[np.ndarray] = []
+
+    def add(self, row: int, id_: int, text: str) -> None:
+        _, n, _, _, high, low = run_hashes(text)
+        self.rows.append((row - self.base, id_, len(high)))
+        self.counts.append(n)
+        self.high.append(high.view(np.uint64))
+        self.low.append((low.view(np.uint64) >> np.uint64(32)).astype(np.uint32))
+        self.runs += len(high)
+
+    def records(self, shards: int) -> pa.RecordBatch:
+        off, ids, sizes = np.array(self.rows, np.int64).T
+        high, low = np.concatenate(self.high), np.concatenate(self.low)
+        at = np.arange(len(high)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        home = self.base % shards
+        out = [(home, COUNTS, 0, b"", b"", b"", off.astype(np.uint16).tobytes(), _pack(np.array(self.counts)))]
+        off, ids = np.repeat(off, sizes).astype(np.uint16), np.repeat(ids, sizes)
+        # Stable, so equal ids stay in the order of rows and runs.
+        order = np.lexsort((ids, low, high))
+        first = np.ones(len(order), bool)
+        first[1:] = (high[order[1:]] != high[order[:-1]]) | (low[order[1:]] != low[order[:-1]])
+        if not first.all():
+            sure = order[~first]
+            out.append((home, SURE, 0, b"", b"", b"", off[sure].tobytes(), _pack(at[sure])))
+        asked = order[first]
+        shard = ((high[asked] >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+        edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(asked) else []
+        for a, b in zip(edges, [*edges[1:], len(asked)]):
+            one = asked[a:b]
+            least = int(ids[one].min())
+            apart = ids[one].view(np.uint64) - np.uint64(least & _MASK)
+            out.append((int(shard[a]), ASKED, least, high[one].tobytes(), low[one].tobytes(), _pack(apart),
+                        off[one].tobytes(), _pack(at[one])))
+        home, *columns = zip(*out)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(values, field.type) for values, field in zip([home, [self.base] * len(out), *columns], _RECORD)],
+            schema=_RECORD,
+        )
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """A written table of ``docs(doc_id, text)`` with the number of each row."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return stage(rows, "spans-rows", "zstd")
+
+
+def _records(rows: DataFrame, shards: int, chunk_runs: int) -> DataFrame:
+    """Runs of all rows as packed records, each for one shard and one chunk."""
+    last = (1 << 63) - 1
 
-def _hashed(docs: DataFrame) -> DataFrame:
-    """A written table: row number, the row as ``doc``, number of sentences, and the runs' hashes."""
     def run(batches):
+        chunk = None
         for batch in batches:
-            counts, high, low = [], [], []
-            for value in pc.struct_field(batch.column("doc"), "text"):
-                _, n, _, _, a, b = run_hashes(value.as_py() or "")
-                counts.append(n)
-                high.append(a)
-                low.append(b)
-            ends = pa.array(np.cumsum([0, *map(len, high)]), pa.int32())
-            none = np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc"), pa.array(counts, pa.int64()),
-                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate([none, *high]))),
-                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate([none, *low])))],
-                names=["row", "doc", "n_sentences", "high", "low"],
-            )
+            for row, id_, text in zip(*(batch.column(c) for c in ("row", "doc_id", "text"))):
+                row, id_ = row.as_py(), id_.as_py()
+                if chunk is not None and not (chunk.runs < chunk_runs and 0 <= row - chunk.base < CHUNK_ROWS):
+                    yield chunk.records(shards)
+                    chunk = None
+                if chunk is None:
+                    chunk = _Chunk(row)
+                chunk.add(row, last if id_ is None else id_, text.as_py() or "")
+        if chunk is not None:
+            yield chunk.records(shards)
+
+    return map_arrow(rows, run, _RECORD_SQL)
+
+
+def _answer(records: pa.Table) -> pa.Table:
+    """Places of one shard that are not the first of their kind; the other records go through."""
+    known = records.filter(pc.not_equal(records["kind"], ASKED)).select(_ANSWER.names)
+    asked = records.filter(pc.equal(records["kind"], ASKED)).to_pylist()
+    if not asked:
+        return known.cast(_ANSWER)
+    high = np.frombuffer(b"".join(r["high"] for r in asked), np.uint64)
+    sizes = [len(r["high"]) // 8 for r in asked]
+    order = np.argsort(high, kind="stable")
+    alike = high[order[1:]] == high[order[:-1]]
+    # Only runs whose hash has company are looked at further.
+    met = order[np.concatenate([[False], alike]) | np.concatenate([alike, [False]])]
+    low = np.frombuffer(b"".join(r["low"] for r in asked), np.uint32)[met]
+    off = np.frombuffer(b"".join(r["off"] for r in asked), np.uint16)[met]
+    at = np.concatenate([_unpack(r["at"], n) for r, n in zip(asked, sizes)])[met].astype(np.int64)
+    ids = np.concatenate([
+        (_unpack(r["id"], n) + np.uint64(r["least"] & _MASK)).view(np.int64) for r, n in zip(asked, sizes)
+    ])[met]
+    record = np.repeat(np.arange(len(asked)), sizes)[met]
+    row = np.array([r["base"] for r in asked], np.int64)[record] + off
+    sorted_ = np.lexsort((at, row, ids, low, high[met]))
+    kind = high[met][sorted_], low[sorted_]
+    again = np.zeros(len(met), bool)
+    again[sorted_[1:]] = (kind[0][1:] == kind[0][:-1]) & (kind[1][1:] == kind[1][:-1])
+    of = np.flatnonzero(again)[np.argsort(record[again], kind="stable")]
+    edges = np.searchsorted(record[of], np.arange(len(asked) + 1))
+    found = [
+        {"base": asked[k]["base"], "kind": SURE, "off": off[of[a:b]].tobytes(), "at": _pack(at[of[a:b]])}
+        for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b
+    ]
+    return pa.concat_tables([known.cast(_ANSWER), pa.Table.from_pylist(found, _ANSWER)])
+
+
+def _by_row(answers: pa.Table) -> pa.Table:
+    """Rows of one chunk: numbers of sentences, and the numbers of repeated runs as first and last of each stretch."""
+    base, found, counts = answers["base"][0].as_py(), [], {}
+    for kind, off, at in zip(*(answers[c].to_pylist() for c in ("kind", "off", "at"))):
+        off = np.frombuffer(off, np.uint16).astype(np.int64)
+        at = _unpack(at, len(off)).astype(np.int64)
+        if kind == COUNTS:
+            counts = dict(zip(off.tolist(), at.tolist()))
+        else:
+            found.append(off << 40 | at)
+    places = np.sort(np.concatenate([np.zeros(0, np.int64), *found]))
+    cut = np.flatnonzero(np.diff(places) != 1)
+    firsts = places[np.concatenate([[0], cut + 1]).astype(np.int64)] if len(places) else places
+    lasts = places[np.concatenate([cut, [len(places) - 1]]).astype(np.int64)] if len(places) else places
+    low = (1 << 40) - 1
+    again: dict[int, list[int]] = {}
+    for a, b in zip(firsts.tolist(), lasts.tolist()):
+        again.setdefault(a >> 40, []).extend((a & low, b & low))
+    return pa.Table.from_pydict(
+        {"row": [base + o for o in counts], "n_sentences": list(counts.values()), "again": [again.get(o) for o in counts]},
+        _AGAIN,
+    )
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
-    longs = T.ArrayType(T.LongType())
-    schema = T.StructType([T.StructField("row", T.LongType()), rows.schema["doc"], T.StructField("n_sentences", T.LongType()),
-                           T.StructField("high", longs), T.StructField("low", longs)])
-    return stage(map_arrow(rows, run, schema), "spans-hashed")
 
+def repeated(rows: DataFrame, chunk_runs: int = CHUNK_RUNS, shard_chars: int = SHARD_CHARS) -> DataFrame:
+    """``(row, n_sentences, again)`` for each of ``rows(row, doc_id, text)``.
 
-def repeated(hashed: DataFrame) -> DataFrame:
-    """``(row, again)``: the runs of each row that are not the first of their kind, by number."""
-    seen = hashed.select(F.explode("high").alias("high")).groupBy("high").agg(F.count(F.lit(1)).alias("n"))
-    seen = stage(seen.where("n > 1").select("high"), "spans-seen")
-    runs = hashed.select(
-        "row", F.col("doc.doc_id").alias("id"), F.posexplode(F.arrays_zip("high", "low")).alias("at", "h")
-    ).select("row", "id", "at", F.col("h.high").alias("high"), F.col("h.low").alias("low"))
-    runs = stage(semi_or_anti(runs, seen, ["high"], "left_semi", is_small(seen, BROADCAST_STARTS)), "spans-runs")
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "at")
-    kinds = runs.groupBy("high", "low").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    kinds = stage(kinds.where("n > 1").select("high", "low", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")), "spans-kinds")
-    again = runs.join(kinds, ["high", "low"]).where("row != first_row OR at != first_at")
-    return stage(again.groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("again")), "spans-again")
+    ``again`` are the runs that are not the first of their kind, as first and last number of each
+    stretch of them; null where there are none.  Null ids are the highest.
+    """
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    shards = 1 + chars // shard_chars
+    answers = _records(rows, shards, chunk_runs).groupBy("shard").applyInArrow(_answer, _ANSWER_SQL)
+    return stage(answers.groupBy("base").applyInArrow(_by_row, _AGAIN_SQL), "spans-again")
 
 
 def _covered(again: list[int], text: str) -> list[tuple[int, int]]:
-    """Joined text spans of the pieces that the runs of these numbers cover."""
-    spans, _, starts, ends, _, _ = run_hashes(text)
+    """Joined text spans of the pieces that the runs of these stretches of numbers cover."""
+    _, _, spans, _, starts, ends = _text_runs(text)
     out: list[tuple[int, int]] = []
-    for r in again:
-        a, b = spans[starts[r]][0], spans[ends[r] - 1][1]
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
+    for first, last in zip(again[::2], again[1::2]):
+        for r in range(first, last + 1):
+            a, b = spans[starts[r]][0], spans[ends[r] - 1][1]
+            if out and a <= out[-1][1]:
+                out[-1] = (out[-1][0], max(b, out[-1][1]))
+            else:
+                out.append((a, b))
     return out
 
 
@@ -244,20 +381,22 @@ def drop_repeated_spans(docs: DataFrame) -> DataFrame:
     texts stay null; texts without a run stay as they are.  Of rows that repeat an id and
     a text, the first keeps its pieces.
     """
-    hashed = _hashed(docs.select("doc_id", "text"))
-    again = repeated(hashed)
+    rows = _numbered(docs.select("doc_id", "text"))
+    again = repeated(rows)
 
     def run(batches):
         for batch in batches:
             made, removed = [], []
             for value, runs in zip(batch.column("text"), batch.column("again").to_pylist()):
-                text = value.as_py() or ""
-                gone = _covered(runs, text)
-                at, parts = 0, []
-                for a, b in gone:
-                    parts.append(text[at:a])
-                    at = b
-                made.append("".join([*parts, text[at:]]))
+                text = value.as_py()
+                gone = _covered(runs, text) if runs else []
+                if gone:
+                    at, parts = 0, []
+                    for a, b in gone:
+                        parts.append(text[at:a])
+                        at = b
+                    text = "".join([*parts, text[at:]])
+                made.append(text)
                 removed.append([{"start": a, "end": b} for a, b in gone])
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
@@ -265,12 +404,5 @@ def drop_repeated_spans(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "text", "n_sentences", "removed"],
             )
 
-    slim = hashed.select("row", F.col("doc.doc_id").cast("bigint").alias("doc_id"), F.col("doc.text").alias("text"), "n_sentences")
     schema = "doc_id bigint, text string, n_sentences bigint, removed array<struct<start: bigint, end: bigint>>"
-    # What a broadcast would hold: so many rows and run numbers at most.
-    small = is_small(again) and (again.agg(F.sum(F.size("again"))).first()[0] or 0) <= BROADCAST_STARTS
-    changed = slim.join(F.broadcast(again) if small else again, "row")
-    kept = semi_or_anti(slim, again, ["row"], "left_anti", small).select(
-        "doc_id", "text", "n_sentences", F.array().cast("array<struct<start: bigint, end: bigint>>").alias("removed")
-    )
-    return map_arrow(changed.select("doc_id", "text", "n_sentences", "again"), run, schema).unionByName(kept)
+    return map_arrow(rows.join(again, "row").select("doc_id", "text", "n_sentences", "again"), run, schema)

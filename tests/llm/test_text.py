@@ -288,6 +288,30 @@ def test_runs_equal_brute_force(spark):
         assert got[i]["text"] == "".join(p for k, p in enumerate(parts) if k not in gone)
 
 
+def test_repeated_runs_equal_brute_force_over_many_chunks_and_shards(spark):
+    rng = random.Random(31)
+    pool = [sentence(rng, n) for n in range(2, 31) for _ in range(2)]
+    passages = [" ".join(rng.choice(pool) for _ in range(rng.randrange(2, 7))) for _ in range(15)]
+    rows = []
+    for i in range(240):
+        # One passage stands in a third of all rows; ids repeat, are null, negative or far apart.
+        parts = [prose(rng, rng.randrange(0, 3)), passages[0] if i % 3 == 0 else rng.choice(passages), prose(rng, 1), ""]
+        doc_id = None if i % 17 == 0 else rng.choice([i, i // 2, -i, i - (1 << 62), (1 << 62) + i])
+        rows.append((doc_id, rng.choice([" ".join(parts)] * 8 + [None, "", parts[1] + " " + parts[1]])))
+    numbered = sentence_spans._numbered(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    places = {}
+    for r in numbered.collect():
+        _, n, starts, _, high, low = sentence_spans.run_hashes(r["text"] or "")
+        for at, kind in enumerate(zip(high.tolist(), low.tolist())):
+            places.setdefault(kind, []).append((r["doc_id"] is None, r["doc_id"] or 0, r["row"], at))
+    want = {place[2:] for kind in places.values() for place in sorted(kind)[1:]}
+    assert max(map(len, places.values())) > 80
+    for sizes in [(300, 2_000), (20, 20_000), (500_000, 16_000_000)]:
+        made = sentence_spans.repeated(numbered, *sizes).collect()
+        got = {(r["row"], at) for r in made for a, b in zip((r["again"] or [])[::2], (r["again"] or [])[1::2]) for at in range(a, b + 1)}
+        assert got == want and len(made) == len({r["row"] for r in made}) == len(rows)
+
+
 def _kept(spark, rows):
     made = sentence_spans.drop_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"))
     return {r["doc_id"]: r["text"] for r in made.collect()}
