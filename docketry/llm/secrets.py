@@ -30,9 +30,10 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 ASSIGN_MIN = 6
 
-#: Runs that can be scored, and from which length; shorter ones still teach the models.
+#: Runs that are scored.
 RUN = r"[A-Za-z0-9+/_=-]{12,}"
-RUN_MIN = 20
+#: Items in a block of the folds over one text's matches.
+BLOCK = 256
 #: What a run must reach: in all (natural log), and for each character.
 MIN_RATIO, MIN_MEAN = 15.0, 0.6
 SIZE = 128
@@ -50,6 +51,44 @@ class Model:
         return F.lit(self.ratios)
 
 
+def _let(value: Column, fn) -> Column:
+    """``fn(value)`` with the value worked out once, also where ``fn`` uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    """An array cut into arrays of ``BLOCK`` items."""
+    last = F.greatest(F.lit(0), F.ceil(F.size(items) / BLOCK).cast("int") - 1)
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * BLOCK + 1, BLOCK))
+
+
+def _before(items: Column, value, combine) -> Column:
+    """For each item what ``combine`` makes of 0 and the values of all items before it.
+
+    Appending copies an array, so totals go from block to block first and then, block by block,
+    from item to item.
+    """
+    def inside(block: Column, at: Column) -> Column:
+        zero = F.struct(at.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(
+            block, zero,
+            lambda acc, x: F.struct(combine(acc["at"], value(x)).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")),
+            lambda acc: acc["out"],
+        )
+
+    def through(blocks: Column) -> Column:
+        # A block's total is made before it is appended, from the totals so far.
+        starts = F.aggregate(
+            blocks, F.array(F.lit(0)),
+            lambda acc, block: F.array_append(
+                acc, combine(F.element_at(acc, -1), F.aggregate(block, F.lit(0), lambda total, x: combine(total, value(x))))
+            ),
+        )
+        return F.flatten(F.zip_with(blocks, F.slice(starts, 1, F.size(blocks)), inside))
+
+    return _let(_blocks(items), through)
+
+
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     """All matches as ``array<struct<start, end, value>>``: code points, end exclusive, value of the group."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -59,27 +98,56 @@ def _matches(text: Column, pattern: str, group: int = 0) -> Column:
         between, F.arrays_zip(found.alias("m"), values.alias("v")),
         lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit["m"]).alias("size"), hit["v"].alias("value")),
     )
-    kind = "array<struct<start:int,end:int,value:string>>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        hit = F.struct(start.alias("start"), (start + x["size"]).alias("end"), x["value"].alias("value"))
-        return F.struct((start + x["size"]).alias("at"), F.array_append(acc["out"], hit).alias("out"))
+    def placed(hits: Column) -> Column:
+        return F.zip_with(
+            hits, _before(hits, lambda x: x["gap"] + x["size"], lambda a, b: a + b),
+            lambda x, at: F.struct(
+                (at + x["gap"]).alias("start"), (at + x["gap"] + x["size"]).alias("end"), x["value"].alias("value")
+            ),
+        )
 
     # The last gap has no match after it.
-    return F.aggregate(F.filter(steps, lambda s: s["size"].isNotNull()), zero, step, lambda acc: acc["out"])
+    return _let(F.filter(steps, lambda x: x["size"].isNotNull()), placed)
+
+
+def _replaced(text: Column, spans: Column, fill) -> Column:
+    """``text`` with ``fill(span)`` in place of each span; ``spans`` are sorted by start and may overlap.
+
+    ``fill`` also gets where the spans before it end.  Texts are cut block by block, since cutting
+    counts code points from the front.
+    """
+    def joined(items: Column) -> Column:
+        def block(part: Column) -> Column:
+            base = F.get(part, F.lit(0))["before"]
+            own = F.substring(text, base + 1, F.greatest(F.element_at(part, -1)["start"] - base, F.lit(0)))
+            return _let(F.struct(base.alias("base"), own.alias("own")), lambda o: F.array_join(
+                F.transform(part, lambda x: F.concat(
+                    F.substring(o["own"], x["before"] - o["base"] + 1, F.greatest(x["start"] - x["before"], F.lit(0))), fill(x)
+                )), "",
+            ))
+
+        ends = F.greatest(F.element_at(items, -1)["before"], F.element_at(items, -1)["end"])
+        return F.concat(F.array_join(F.transform(_blocks(items), block), ""), F.substring(text, ends + 1, F.length(text)))
+
+    def placed(all_: Column) -> Column:
+        return _let(F.zip_with(
+            all_, _before(all_, lambda x: x["end"], lambda a, b: F.greatest(a, b)),
+            lambda x, at: F.struct(x["start"].alias("start"), x["end"].alias("end"), at.alias("before")),
+        ), joined)
+
+    return F.when(F.size(spans) > 0, _let(spans, placed)).otherwise(text)
 
 
 def _where(holds: Column, found: Column) -> Column:
     return F.when(holds, found).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
 
 
-_T, _PARTS, _BASE, _RUNS, _ALL = "__text", "__parts", "__base", "__runs", "__spans"
+_T, _PARTS, _BASE, _REST, _RUNS, _ALL = "__text", "__parts", "__base", "__rest", "__runs", "__spans"
 
 
 def _scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``__base``, matches of the base rules, and ``__runs``, the other runs; both by start."""
+    """``docs`` with ``__base``, matches of the base rules, and ``__runs``, runs of what they leave; both by start."""
     own = F.col(_T)
     assign = F.filter(_matches(own, ASSIGN, 2), lambda m: F.length(m["value"]) >= ASSIGN_MIN)
     marked = [
@@ -88,7 +156,7 @@ def _scan(docs: DataFrame, text: str = "text") -> DataFrame:
         _where(own.rlike(HEX), _matches(own, HEX)),
     ]
     found = docs.withColumn(_T, F.coalesce(F.col(text), F.lit("")))
-    found = found.withColumn(_PARTS, F.struct(*(m.alias(f"k{i}") for i, m in enumerate(marked)), _where(own.rlike(RUN), _matches(own, RUN)).alias("runs")))
+    found = found.withColumn(_PARTS, F.struct(*(m.alias(f"k{i}") for i, m in enumerate(marked))))
 
     def kind(i: int) -> Column:
         return F.transform(
@@ -98,10 +166,13 @@ def _scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
     found = found.withColumn(_BASE, F.array_sort(F.concat(*(kind(i) for i in range(3)))))
 
-    def free(run: Column) -> Column:
-        return ~F.exists(_BASE, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-
-    return found.withColumn(_RUNS, F.filter(F.col(_PARTS)["runs"], free)).drop(_PARTS)
+    # Spaces in place of base spans: what is left of a run beside one is a run of its own.
+    hidden = _replaced(own, F.col(_BASE), lambda x: F.repeat(
+        F.lit(" "), F.greatest(x["end"] - F.greatest(x["start"], x["before"]), F.lit(0))
+    ))
+    found = found.withColumn(_REST, hidden)
+    rest = F.col(_REST)
+    return found.withColumn(_RUNS, _where(rest.rlike(RUN), _matches(rest, RUN))).drop(_PARTS, _REST)
 
 
 def _codes(value: Column) -> Column:
@@ -173,8 +244,7 @@ def find_secrets(docs: DataFrame, model: Model, text: str = "text") -> DataFrame
 
     def random(run: Column) -> Column:
         value = ratio(run["value"], model)
-        size = F.length(run["value"])
-        return (size >= RUN_MIN) & (value >= F.greatest(F.lit(MIN_RATIO), MIN_MEAN * size))
+        return value >= F.greatest(F.lit(MIN_RATIO), MIN_MEAN * F.length(run["value"]))
 
     added = F.transform(
         F.filter(_RUNS, random),
@@ -216,17 +286,7 @@ def redact(docs: DataFrame, model: Model | None = None, mask: str = MASK) -> Dat
     overlap become one mask.  Null texts stay null.
     """
     found = find_secrets(docs, model or fit(samples(docs)))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col(_T), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        fresh = s["start"] >= acc["at"]
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"),
-        )
-
-    clean = F.aggregate(_ALL, start, step, lambda acc: F.concat(acc["out"], F.substring(F.col(_T), acc["at"] + 1, F.length(_T))))
+    clean = _replaced(F.col(_T), F.col(_ALL), lambda x: F.when(x["start"] >= x["before"], mask).otherwise(""))
     hit = F.size(_ALL) > 0
     out = found.withColumn("text", F.when(hit, clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:

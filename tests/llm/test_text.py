@@ -203,6 +203,51 @@ def test_redaction(spark, odd, empty):
     assert all(r["n_chars"] == len(r["text"]) for r in secrets.redact(sized).collect() if r["text"] is not None)
 
 
+def test_short_keys_and_what_is_left_beside_base_spans(spark):
+    rng = random.Random(16)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def key(n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    taught = [(key(20), True) for _ in range(300)]
+    taught += [("_".join(rng.choice(WORDS) for _ in range(3)), False) for _ in range(600)]
+    model = secrets.fit(spark.createDataFrame(taught, "value string, random boolean"))
+    keys = {n: key(n) for n in (16, 18, 19, 30)}
+    plain = "_".join(WORDS[:4])
+    hexes = "".join(rng.choice("0123456789abcdef") for _ in range(24))
+    rows = [(n, f"\U0001f511 the key {k} is here") for n, k in keys.items()]
+    # 24 hex digits are the base's; the capitals on both sides are not.
+    rows += [(100, f"an {plain} only"), (101, f"x QZXJKVWQXZJKVQZX{hexes}XQJZWKVXQZJWKXQZ y")]
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    for n in keys:
+        assert got[n] == f"markov:10:{10 + n}"
+    assert got[100] == "" and got[101] == "markov:2:18,hex:18:42,markov:42:58"
+    masked = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string"), model).where("doc_id = 101").first()
+    assert masked["text"] == f"x {secrets.MASK * 3} y"
+
+
+def test_many_secrets_in_one_text(spark):
+    rng = random.Random(17)
+    parts = [rng.choice([f"password=abc{i:05d}", f"token: 'é' {i} word", "AKIA" + "Q" * 20, "0a" * 13, "püre", "é"]) for i in range(3000)]
+    text = " ".join(parts)
+    model = secrets.fit(spark.createDataFrame([], "value string, random boolean"))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    base = [
+        (m.start(), 0, m.end()) for m in re.finditer(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text)
+        if len(m[1]) >= 6
+    ]
+    base += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]{16,}", text)]
+    base += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]{24,}", text)]
+    told = [s for s in secrets.scan(docs, model).first()["spans"].split(",") if not s.startswith("markov")]
+    assert told == [f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(base)] and len(base) > 4 * secrets.BLOCK
+    out, at = [], 0
+    for a, _, b in sorted(base):
+        out += [text[at:a], secrets.MASK]
+        at = b
+    assert secrets.redact(docs, model).first()["text"] == "".join([*out, text[at:]])
+
+
 # --- fingerprints ----------------------------------------------------------------
 
 
