@@ -269,6 +269,71 @@ def listed(name: str, value: str) -> str:
     return f"CASE WHEN len({value}) > 0 THEN concat('\"{name}\":', to_json({value})) END"
 
 
+def recursive_chunks(texts: str) -> str:
+    """``chunks(source, section_ix, chunk_ix, content)`` of the CTE ``texts(source, section_ix, text)``.
+
+    ``nodes`` cuts at the first separator that occurs, and pieces that are too long at finer ones.
+    Neighbours among the others, up to the next piece that is too long, are a run; ``ends`` are its
+    piece ends.  From a chunk's last piece follows where the next one begins.
+    """
+    key = "source, section_ix, parent, run"
+    size, overlap = fixed.CHUNK_SIZE, fixed.CHUNK_OVERLAP
+    reach = f"len(list_filter(ends, lambda x: x <= ends[s + 1] + {size})) - 1"
+    return f"""nodes AS (
+  SELECT source, section_ix, []::BIGINT[] AS path, 0 AS used, text FROM {texts} WHERE text <> ''
+  UNION ALL
+  SELECT source, section_ix, list_append(path, i), sep, piece FROM (
+   SELECT source, section_ix, path, sep, unnest(pieces) AS piece, unnest(range(1, len(pieces) + 1)) AS i FROM (
+    SELECT source, section_ix, path, sep, CASE WHEN sep = 4 THEN regexp_extract_all(text, '(?s).') ELSE list_filter(
+      list_transform(string_split(text, mark), lambda p, i: CASE WHEN i = 1 THEN p ELSE mark || p END),
+      lambda p: p <> '') END AS pieces
+    FROM (
+     SELECT *, CASE sep WHEN 1 THEN {NL} || {NL} WHEN 2 THEN {NL} ELSE ' ' END AS mark FROM (
+      SELECT *, CASE WHEN used < 1 AND contains(text, {NL} || {NL}) THEN 1 WHEN used < 2 AND contains(text, {NL}) THEN 2
+       WHEN used < 3 AND contains(text, ' ') THEN 3 ELSE 4 END AS sep
+      FROM nodes WHERE len(path) = 0 OR length(text) >= {size}))))),
+ siblings AS (
+  SELECT source, section_ix, path[:-2] AS parent, path[-1] AS i, text, length(text) AS n,
+   sum((length(text) >= {size})::BIGINT) OVER (PARTITION BY source, section_ix, path[:-2] ORDER BY path[-1]) AS run
+  FROM nodes WHERE len(path) > 0),
+ small AS (SELECT *, sum(n) OVER (PARTITION BY {key} ORDER BY i)::BIGINT AS upto FROM siblings WHERE n < {size}),
+ runs AS (
+  SELECT {key}, list_append(parent, min(i)) AS place, string_agg(text, '' ORDER BY i) AS text,
+   list_prepend(0, list(upto ORDER BY i)) AS ends
+  FROM small GROUP BY {key}),
+ cuts AS (
+  SELECT {key}, s, {reach} AS e FROM (SELECT *, 0::BIGINT AS s FROM runs)
+  UNION ALL
+  SELECT {key}, s, {reach} FROM (
+   SELECT {key}, ends, len(list_filter(ends, lambda x: x < ends[e + 1] - least({overlap}, {size} - (ends[e + 2] - ends[e + 1])))) AS s
+   FROM cuts JOIN runs USING ({key}) WHERE e < len(ends) - 1)),
+ stripped AS (
+  SELECT source, section_ix, place, s, {strip('substr(text, ends[s + 1] + 1, ends[e + 1] - ends[s + 1])')} AS content
+  FROM cuts JOIN runs USING ({key})),
+ chunks AS (
+  SELECT source, section_ix, row_number() OVER (PARTITION BY source, section_ix ORDER BY place, s) - 1 AS chunk_ix, content
+  FROM stripped WHERE content <> '')"""
+
+
+CHUNK_ID = "sha256(concat_ws(chr(1), source, section_ix, chunk_ix)) AS chunk_id"
+
+NOTED = f"""{OPINIONS}, {SECTIONS}, {CLEANED}, {CITES}, {JSON_CITES}, {METADATA},
+ noted AS (
+  SELECT c.doc_id, c.section_ix, c.source, c.section, m.docket_number, m.case_name, m.court_name,
+   m.disposition, cj, {POSTURE_SQL.replace('(text', '(c.text')} AS posture,
+   {CALENDAR_SQL.replace('(text', '(c.text')} AS calendar,
+   {STATUTE_LIST.replace('(text', '(c.text')} AS statutes, {HOLDING_LIST.replace('(text', '(c.text')} AS holdings
+  FROM cleaned c JOIN metadata m USING (doc_id) LEFT JOIN cite_json j
+   ON j.doc_id = c.doc_id AND j.section_ix = c.section_ix)"""
+
+NOTED_JSON = f"""concat('{{', concat_ws(',',
+  {field('source', 'source')}, {field('section', 'section')}, {field('docket_number', 'docket_number')},
+  {field('case_name', 'case_name')}, {field('court_name', 'court_name')},
+  {field('procedural_posture', 'posture')}, {listed('statutes_guidelines', 'statutes')},
+  CASE WHEN cj IS NOT NULL THEN concat('"precedents":', cj) END, {listed('holdings', 'holdings')},
+  {field('disposition', 'disposition')}, {field('calendar_status', 'calendar')}), '}}')"""
+
+
 ORACLE: dict[str, str] = {
     "list_stats": f"""WITH {LISTING}
  SELECT count(*) AS total_files, sum(size_bytes)::BIGINT AS total_size_bytes,
@@ -353,21 +418,14 @@ ORACLE: dict[str, str] = {
  SELECT doc_id, section_ix, coalesce(array_to_string({HOLDING_LIST}, '|'), '') AS holdings FROM cleaned""",
     "annotate_precedents": f"""WITH {OPINIONS}, {SECTIONS}, {CLEANED}, {CITES}
  SELECT doc_id, section_ix, case_title, reporter, pin, court_year FROM cites""",
-    "chunk_metadata": f"""WITH {OPINIONS}, {SECTIONS}, {CLEANED}, {CITES}, {JSON_CITES}, {METADATA},
- noted AS (
-  SELECT c.doc_id, c.section_ix, c.source, c.section, m.docket_number, m.case_name, m.court_name,
-   m.disposition, cj, {POSTURE_SQL.replace('(text', '(c.text')} AS posture,
-   {CALENDAR_SQL.replace('(text', '(c.text')} AS calendar,
-   {STATUTE_LIST.replace('(text', '(c.text')} AS statutes, {HOLDING_LIST.replace('(text', '(c.text')} AS holdings
-  FROM cleaned c JOIN metadata m USING (doc_id) LEFT JOIN cite_json j
-   ON j.doc_id = c.doc_id AND j.section_ix = c.section_ix)
- SELECT doc_id, section_ix, concat('{{', concat_ws(',',
-  {field('source', 'source')}, {field('section', 'section')}, {field('docket_number', 'docket_number')},
-  {field('case_name', 'case_name')}, {field('court_name', 'court_name')},
-  {field('procedural_posture', 'posture')}, {listed('statutes_guidelines', 'statutes')},
-  CASE WHEN cj IS NOT NULL THEN concat('"precedents":', cj) END, {listed('holdings', 'holdings')},
-  {field('disposition', 'disposition')}, {field('calendar_status', 'calendar')}), '}}') AS metadata
- FROM noted""",
+    "chunk_metadata": f"""WITH {NOTED}
+ SELECT doc_id, section_ix, {NOTED_JSON} AS metadata FROM noted""",
+    "chunk_recursive": f"""WITH RECURSIVE texts AS (SELECT doc_id::VARCHAR AS source, 0 AS section_ix, text FROM documents),
+ {recursive_chunks('texts')}
+ SELECT source, chunk_ix, {CHUNK_ID}, content FROM chunks""",
+    "chunk_opinions": f"""WITH RECURSIVE {NOTED}, {recursive_chunks('cleaned')},
+ carried AS (SELECT source, section_ix, {NOTED_JSON} AS metadata FROM noted)
+ SELECT source, section_ix, chunk_ix, {CHUNK_ID}, content, metadata FROM chunks JOIN carried USING (source, section_ix)""",
     "to_json_rows": """SELECT concat('{"c_custkey":', c_custkey, ',"c_name":"', c_name, '","c_nationkey":', c_nationkey,
   ',"tags":["', c_mktsegment, '","', c_name, '"]}') AS json FROM customer
  UNION ALL SELECT concat('{"c_custkey":"', c_custkey, '","c_name":"', c_name, '","c_nationkey":"', c_nationkey,
