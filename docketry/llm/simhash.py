@@ -19,12 +19,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.llm.common import stage
+from docketry.plans.sizes import join_hot_key
 
 BITS = 64
 RADIUS = 3
 BLOCKS = 6
 #: A word of n letters has the weight min(n, LONGEST) - SHORT, squared; at least 1.
 SHORT, LONGEST = 2, 10
+#: Code points of text in one range of ids, about.
+PART_CHARS = 32_000_000
+#: The search takes rows whose id this divides as queries.
+QUERY_IDS = 100
 _LANES = BITS // 2
 _PAIR = (1 << 32) | 1
 
@@ -89,7 +94,8 @@ def within_radius(queries: DataFrame, known: DataFrame, radius: int = RADIUS) ->
     """Pairs ``(fingerprint, near, distance)`` of distinct fingerprints at most ``radius`` bits apart.
 
     Both inputs have a column ``fingerprint``; copies are made one first, so that a
-    group of copies is one row on each side.  Nulls match nothing.
+    group of copies is one row on each side.  Nulls match nothing.  Few queries are
+    broadcast; with more, blocks that many fingerprints share are salted.
     """
     if not 0 <= radius < BLOCKS:
         raise ValueError("the radius must be below the number of blocks")
@@ -100,7 +106,7 @@ def within_radius(queries: DataFrame, known: DataFrame, radius: int = RADIUS) ->
     right = right.select("near", _tables(near, radius).alias("key"))
     apart = F.bit_count(F.col("fingerprint").bitwiseXOR(near))
     return (
-        left.join(right, "key").where(apart <= radius)
+        join_hot_key(right, left, "key", "near").where(apart <= radius)
         .select("fingerprint", "near", apart.alias("distance")).distinct()
     )
 
@@ -149,10 +155,12 @@ def edited(docs: DataFrame) -> DataFrame:
     The edited text is the text with its last floor(n/2) code points replaced by the first
     as many, or all, of the next document's (falling ids, the first after the last).
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (16 hex
-    digits), near_edited, near_next (share of equal bits).  Null texts count as empty.
+    digits), near_edited, near_next (share of equal bits), n_near.  Null texts count as
+    empty.  ``n_near`` is the number of other rows at most ``RADIUS`` bits apart, found by the
+    block tables among all rows; null where ``QUERY_IDS`` does not divide the id.
     """
-    spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // PART_CHARS))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     pairs = with_next(docs, parts).withColumn(
@@ -169,7 +177,17 @@ def edited(docs: DataFrame) -> DataFrame:
     )
     # Places are dense in a part; the last of a part is followed by the first of the next part.
     both = stage(both, "simhash")
-    return _beside(both)
+    return _beside(both).join(_near_rows(both), ["part", "place"], "left").drop("part", "place")
+
+
+def _near_rows(both: DataFrame) -> DataFrame:
+    """``(part, place, n_near)`` of the rows that are queries."""
+    asked = both.where(F.pmod("doc_id", F.lit(QUERY_IDS)) == 0).select("part", "place", F.col("own").alias("fingerprint"))
+    copies = both.groupBy(F.col("own").alias("near")).agg(F.count(F.lit(1)).alias("rows"))
+    found = within_radius(asked, both.select(F.col("own").alias("fingerprint"))).join(copies, "near")
+    # A row is within its own radius.
+    found = stage(found.groupBy("fingerprint").agg((F.sum("rows") - 1).alias("n_near")), "simhash-near")
+    return join_hot_key(asked, found, "fingerprint", "place").select("part", "place", "n_near")
 
 
 def _beside(both: DataFrame) -> DataFrame:
@@ -185,7 +203,7 @@ def _beside(both: DataFrame) -> DataFrame:
     rows = both.withColumn("next", F.lead("own").over(order)).join(F.broadcast(follows), "part")
     after = F.coalesce("next", "head")
     return rows.select(
-        "doc_id", "n_chars", "edited_sha256", _hex("own").alias("fingerprint"), _hex("other").alias("edited_fingerprint"),
+        "part", "place", "doc_id", "n_chars", "edited_sha256", _hex("own").alias("fingerprint"), _hex("other").alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), after).alias("near_next"),
     )
 

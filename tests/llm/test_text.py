@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from docketry.llm import quality, secrets, sentence_spans, simhash, toxicity
@@ -268,6 +269,33 @@ def test_fingerprints_of_edited_texts(spark, odd):
     assert np.mean([r["near_edited"] for r in long_]) > np.mean([r["near_next"] for r in long_]) + 0.05
 
 
+def voted(text):
+    """A fingerprint by its definition: the signed votes of every word on every bit."""
+    votes = [0] * 64
+    for word in re.split("[ \n\t\r\x0b\x0c]", re.sub('[.,;:!?()"]', "", text.lower())):
+        over = min(len(word), simhash.LONGEST) - simhash.SHORT
+        weight = max(over * over if over > 0 else 0, 1) if word else 0
+        hashed = xxhash.xxh64_intdigest(word.encode(), 42)
+        for bit in range(64):
+            votes[bit] += weight if hashed >> bit & 1 else -weight
+    return sum(1 << bit for bit in range(64) if votes[bit] > 0)
+
+
+def test_fingerprints_are_the_votes_and_the_search_finds_all_near(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "PART_CHARS", 2_000)
+    rng = random.Random(6)
+    rows = [(i, prose(rng, 1 + i % 7)) for i in range(120)]
+    rows += [(i, rows[i % 5 * 20][1]) for i in range(200, 260)]
+    rows += [(i, rows[i % 5 * 20][1].replace(" ", "  ", 3) + " a") for i in range(300, 340)] + [(400, ""), (401, None), (500, "Ab(c,")]
+    got = {r["doc_id"]: r for r in simhash.edited(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    prints = {i: voted(t or "") for i, t in rows}
+    assert {i: int(r["fingerprint"], 16) for i, r in got.items()} == prints
+    for i, r in got.items():
+        near = sum(bin(prints[i] ^ p).count("1") <= simhash.RADIUS for p in prints.values()) - 1
+        assert r["n_near"] == (near if i % simhash.QUERY_IDS == 0 else None)
+    assert got[0]["n_near"] >= 12 and got[400]["n_near"] == 1
+
+
 def test_fingerprints_of_odd_rows(odd, empty):
     rows = simhash.edited(odd).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(r["doc_id"] for r in odd.collect())
