@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docketry.plans.sizes import is_small
 from docketry.plans.tables import read_back
 from docketry.session import new_work_dir, ship_package
 
@@ -21,6 +22,9 @@ BATCH_BYTES = 16 * 1024 * 1024
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Words a task remembers; the memory is emptied when it is full, and after the task.
 CACHE_WORDS = 250_000
+#: Rows from which a key is a hub, whose rows ``join_counted`` does not gather.
+HUB_ROWS = 100_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,6 +37,19 @@ def stage(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     return read_back(df, folder)
 
 
+def join_counted(big: DataFrame, keyed: DataFrame, on: str, count: str) -> DataFrame:
+    """Inner join with ``keyed``, one written row for each key with the ``count`` of its rows in ``big``.
+
+    A short ``keyed`` is broadcast.  Of a long one only the hubs are, of which there are at most
+    the rows of ``big`` over ``HUB_ROWS``; so the rows of one key never meet in one task.
+    """
+    if is_small(keyed):
+        return big.join(F.broadcast(keyed), on)
+    hubs = F.broadcast(keyed.where(F.col(count) > HUB_ROWS))
+    calm = big.join(hubs.select(on), on, "left_anti").join(keyed.where(F.col(count) <= HUB_ROWS), on)
+    return big.join(hubs, on).unionByName(calm)
+
+
 class TaskCache(dict):
     """What a task remembers.  Workers live on after a task, its memory does not."""
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import map_arrow, stage
+from docketry.llm.common import join_counted, map_arrow, stage
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,9 +16,10 @@ def components(edges: DataFrame) -> DataFrame:
     First each task joins what its own edges connect and passes on one edge for each
     node it saw.  Then edges are rewritten to point to ever smaller neighbours, from
     each node to its larger ones and among its smaller ones, until every node points
-    to the smallest of its component.  A round is a few grouped minima and joins, a hub's
-    edges are never gathered, and each round's edges are written, so nothing grows with
-    the number of rounds.  No edges give no rows; loops and repeated edges do no harm.
+    to the smallest of its component.  A round is a few grouped minima and joins; minima are
+    made before the shuffle and joined by ``join_counted``, so a hub's edges are never
+    gathered.  Each round's edges are written, so nothing grows with the number of
+    rounds.  No edges give no rows; loops and repeated edges do no harm.
     """
     now = map_arrow(edges.select("a", "b").where("a != b"), _contract, "u bigint, v bigint")
     while True:
@@ -53,13 +54,19 @@ def _contract(batches):
     yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """Of each ``u`` its smallest neighbour ``m`` and the number of its edges, written."""
+    return stage(edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("edges")), "components-least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = _least(both).select("u", F.least("u", "m").alias("m"), "edges")
+    return join_counted(both.where("v > u"), least, "u", "edges").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    edges = stage(edges.distinct(), "components-large")
+    least = _least(edges)
+    moved = join_counted(edges, least, "u", "edges").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()

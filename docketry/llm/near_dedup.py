@@ -20,7 +20,8 @@ No pairs inside a group
     have links only within the shingles it shares, which rules out most members alone
     and most pairs unseen.  That filter and the one on sizes are exact; those on the
     signature and on a longer one of single bits pass a similarity of 0.8 but for a chance
-    of 1e-8.  A group of n copies costs n checks, and nothing is capped.
+    of 1e-8.  A group of n linked copies costs n checks, and nothing is capped.  Members whose
+    similarity is just below the limit are compared pair by pair, a large bucket's in several tasks.
 
 The work tables lie below the shared folder.  Texts are moved only for candidates.
 """
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.llm.common import CACHE_WORDS, TaskCache, map_arrow, stage
+from docketry.llm.common import CACHE_WORDS, TaskCache, join_counted, map_arrow, stage
 from docketry.llm.components import components
 from docketry.plans.sizes import semi_or_anti
 
@@ -55,6 +56,8 @@ SEED = 20_240_501
 FINE_WORDS, FINE_DIFFER = 32, 285
 #: The similarity that the chunks and the limits above are made for.
 LEAST_PERCENT = 80
+#: Members of a bucket that one task compares with the rest of it.
+PAIR_ROWS = 2_000
 #: Turns of checks against single members before the rest is compared in full.
 ROUNDS = 1
 FINE_NAMES = tuple(f"q{i}" for i in range(FINE_WORDS))
@@ -258,10 +261,22 @@ def _mixed(rows: DataFrame, parts: DataFrame) -> DataFrame:
     placed = rows.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
     tally = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"))
     mains = tally.groupBy("key").agg(
-        F.max_by("part", F.struct("size", "part")).alias("main"), F.count(F.lit(1)).alias("parts")
+        F.max_by("part", F.struct("size", "part")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("size").alias("members")
     )
-    mains = stage(mains.where("parts > 1").select("key", "main"), "near-mains")
-    return stage(placed.join(mains, "key"), "near-mixed")
+    mains = stage(mains.where("parts > 1").select("key", "main", "members"), "near-mains")
+    return stage(join_counted(placed, mains, "key", "members").drop("members"), "near-mixed")
+
+
+def _linkable(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows(key, node, n, shared, ...)`` that may be linked within their bucket, with the number of its ``members``.
+
+    A partner has as many shingles as the bucket's smallest set or the common ones, whichever
+    is more, and no more in common than is shared; that bounds the similarity from above.
+    """
+    buckets = rows.groupBy("key").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("members"))
+    met = join_counted(rows, stage(buckets, "near-buckets"), "key", "members")
+    union = F.col("n") + F.greatest("least", "shared") - F.col("shared")
+    return met.where(100 * F.col("shared") >= percent * union).drop("least", "n", "shared")
 
 
 def _shared(open_nodes: DataFrame, nodes: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
@@ -331,10 +346,10 @@ def links(sketches: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFram
     keys = nodes.select("node", F.posexplode(_keys()).alias("slot", "key"))
     centres = stage(
         keys.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size"))
-        .where("size > 1").select("key", "centre"),
+        .where("size > 1"),
         "near-centres",
     )
-    members = stage(keys.join(centres, "key"), "near-members")
+    members = stage(join_counted(keys, centres, "key", "size").drop("size"), "near-members")
 
     star = members.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     star = stage(
@@ -367,13 +382,18 @@ def links(sketches: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFram
         parts = stage(components(linked), "near-parts")
 
     # What is left: each member of the smaller components of a bucket against all of the others.
-    open_ = _mixed(rows, parts).join(shared, "node")
-    few = _named(open_.where("part != main"), "a", "shared", *FINE_NAMES, "key", "slot", "keys", "part")
-    all_ = _named(open_, "b", "shared", *FINE_NAMES, "key", "keys", "part", "main")
+    # A large bucket's members are dealt to several tasks.
+    sizes = shared.select("node", "n", "shared")
+    narrow = stage(_linkable(_mixed(rows, parts).join(sizes, "node"), rule.percent), "near-last")
+    open_ = narrow.join(shared, "node").withColumn("deals", F.ceil(F.col("members") / PAIR_ROWS))
+    few = open_.where("part != main").withColumn("deal", F.pmod(F.xxhash64("node"), F.col("deals")))
+    few = _named(few, "a", "shared", *FINE_NAMES, "key", "slot", "keys", "part", "deal")
+    all_ = open_.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("deals") - 1)))
+    all_ = _named(all_, "b", "shared", *FINE_NAMES, "key", "keys", "part", "main", "deal")
     # A pair counts in the first of the buckets it shares.
     first = F.array_position(F.zip_with("a_keys", "b_keys", lambda x, y: x == y), F.lit(True)) == F.col("a_slot") + 1
     pairs = (
-        few.join(all_, F.col("a_key") == F.col("b_key"))
+        few.join(all_, (F.col("a_key") == F.col("b_key")) & (F.col("a_deal") == F.col("b_deal")))
         .where((F.col("a_part") != F.col("b_part")) & ((F.col("b_part") == F.col("b_main")) | (F.col("a") < F.col("b"))))
         .where(_may_still(rule.percent) & first)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

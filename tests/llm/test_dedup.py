@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docketry.llm import exact_dedup, fuse_filter, near_dedup
+from docketry.llm import common, exact_dedup, fuse_filter, near_dedup
 from docketry.llm.components import components
 from llm_cases import prose
 
@@ -70,6 +70,30 @@ def test_near_duplicates_equal_brute_force(spark, words):
     }
 
 
+def test_a_family_below_the_limit_and_hubs(spark, monkeypatch):
+    """A template whose copies are about 0.6 to 0.85 alike, with every key a hub and every bucket dealt."""
+    monkeypatch.setattr(common, "is_small", lambda df: False)
+    monkeypatch.setattr(common, "HUB_ROWS", 3)
+    monkeypatch.setattr(near_dedup, "PAIR_ROWS", 5)
+    rng = random.Random(9)
+    base, rows = prose(rng, 12).split(), []
+    for i in range(90):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4, 5])):
+            words[rng.randrange(len(words))] = f"w{rng.random()}"
+        rows.append((i, " ".join(words + [f"v{rng.random()}" for _ in range(rng.randrange(6))])))
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = linked([shingles(t, 5) for _, t in rows])
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(want))
+    assert 3 < len(set(want)) < 87
+
+
+def test_what_cannot_be_linked_in_a_bucket_goes(spark):
+    rows = [(1, 7, 100, 84), (1, 8, 95, 84), (1, 9, 96, 96), (2, 7, 100, 84), (2, 10, 84, 84)]
+    met = near_dedup._linkable(spark.createDataFrame(rows, "key long, node long, n long, shared long"), 80).collect()
+    assert {(r["key"], r["node"], r["members"]) for r in met} == {(1, 9, 3), (2, 7, 2), (2, 10, 2)}
+
+
 def test_near_duplicates_of_odd_rows(odd):
     got = near_dedup.near_duplicates(odd).collect()
     assert len(got) == odd.count()
@@ -158,7 +182,11 @@ def test_fuse_filter(n):
     assert n < 1000 or len(made) < 2 * n
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hubs", [False, True])
+def test_components(spark, monkeypatch, hubs):
+    if hubs:
+        monkeypatch.setattr(common, "is_small", lambda df: False)
+        monkeypatch.setattr(common, "HUB_ROWS", 5)
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(400, i) for i in range(401, 460)]
     edges += [(500 + i, 501 + i) for i in range(40)] + [(7, 7)]
