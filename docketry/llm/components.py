@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.common import join_counted, map_arrow, stage
+from docketry.plans.sizes import is_small
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,14 +17,16 @@ def components(edges: DataFrame) -> DataFrame:
     First each task joins what its own edges connect and passes on one edge for each
     node it saw.  Then edges are rewritten to point to ever smaller neighbours, from
     each node to its larger ones and among its smaller ones, until every node points
-    to the smallest of its component.  A round is a few grouped minima and joins; minima are
-    made before the shuffle and joined by ``join_counted``, so a hub's edges are never
-    gathered.  Each round's edges are written, so nothing grows with the number of
-    rounds.  No edges give no rows; loops and repeated edges do no harm.
+    to the smallest of its component.  A round is a few grouped minima, made before the
+    shuffle, and joins with them: by broadcast where there are few edges, which no round
+    makes more, else by ``join_counted``; so a hub's edges are never gathered.  Each
+    round's edges are written, so nothing grows with the number of rounds.  No edges
+    give no rows; loops and repeated edges do no harm.
     """
-    now = map_arrow(edges.select("a", "b").where("a != b"), _contract, "u bigint, v bigint")
+    now = stage(map_arrow(edges.select("a", "b").where("a != b"), _contract, "u bigint, v bigint"), "components-first")
+    few = is_small(now)
     while True:
-        now = stage(_small_star(_large_star(now)), "components")
+        now = stage(_small_star(_large_star(now, few), few), "components")
         ends = now.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
             now.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into"))
         )
@@ -54,19 +57,25 @@ def _contract(batches):
     yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
 
+def _with_least(edges: DataFrame, least: DataFrame, few: bool) -> DataFrame:
+    if few:
+        return edges.join(F.broadcast(least), "u")
+    return join_counted(edges, stage(least, "components-least"), "u", "edges")
+
+
 def _least(edges: DataFrame) -> DataFrame:
-    """Of each ``u`` its smallest neighbour ``m`` and the number of its edges, written."""
-    return stage(edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("edges")), "components-least")
+    """Of each ``u`` its smallest neighbour ``m`` and the number of its edges."""
+    return edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("edges"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, few: bool) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = _least(both).select("u", F.least("u", "m").alias("m"), "edges")
-    return join_counted(both.where("v > u"), least, "u", "edges").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _with_least(both.where("v > u"), least, few).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    edges = stage(edges.distinct(), "components-large")
+def _small_star(edges: DataFrame, few: bool) -> DataFrame:
+    edges = edges if few else stage(edges.distinct(), "components-large")
     least = _least(edges)
-    moved = join_counted(edges, least, "u", "edges").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = _with_least(edges, least, few).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()

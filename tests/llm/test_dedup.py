@@ -73,6 +73,7 @@ def test_near_duplicates_equal_brute_force(spark, words):
 def test_a_family_below_the_limit_and_hubs(spark, monkeypatch):
     """A template whose copies are about 0.6 to 0.85 alike, with every key a hub and every bucket dealt."""
     monkeypatch.setattr(common, "is_small", lambda df: False)
+    monkeypatch.setattr("docketry.llm.components.is_small", lambda df: False)
     monkeypatch.setattr(common, "HUB_ROWS", 3)
     monkeypatch.setattr(near_dedup, "PAIR_ROWS", 5)
     rng = random.Random(9)
@@ -186,6 +187,7 @@ def test_fuse_filter(n):
 def test_components(spark, monkeypatch, hubs):
     if hubs:
         monkeypatch.setattr(common, "is_small", lambda df: False)
+        monkeypatch.setattr("docketry.llm.components.is_small", lambda df: False)
         monkeypatch.setattr(common, "HUB_ROWS", 5)
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(400, i) for i in range(401, 460)]
