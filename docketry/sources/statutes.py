@@ -8,14 +8,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from docketry.functions import fixed_values as fixed
 from docketry.session import ship_package
 
 _PATH = "array<struct<tag:string,num:string>>"
-_SECTIONS = f"array<struct<path:{_PATH},heading:string,content:string>>"
 
 
 def _local(tag: str) -> str:
@@ -44,11 +41,12 @@ def _texts(element: ET.Element) -> Iterator[str]:
         waiting.extend(p for p in reversed(parts) if p is not None)
 
 
-def _sections(xml: str, namespace: str | None) -> list[dict]:
+def _sections(xml: str, namespace: str | None) -> list[tuple[tuple, str, str]]:
+    """Path, heading and content of each section."""
     builder = ET.TreeBuilder(insert_comments=True, insert_pis=True)
     root = ET.fromstring(xml.encode("utf-8") if xml.startswith("<?xml") else xml,
                          parser=ET.XMLParser(target=builder))
-    found: list[dict] = []
+    found: list[tuple[tuple, str, str]] = []
     # Depth first in document order; an explicit stack, since nesting is not bounded.
     stack: list[tuple[ET.Element, tuple]] = [(root, ())]
     while stack:
@@ -60,21 +58,15 @@ def _sections(xml: str, namespace: str | None) -> list[dict]:
             num = element.get("num")
             if not num and namespace:
                 num = next(_own_text(element.iterfind(f"{{{namespace}}}num")), "")
-            path = (*path, {"tag": name, "num": num})
+            path = (*path, (name, num))
         if name == "section":
             if namespace:
                 titles = element.iterfind(f"{{{namespace}}}heading")
             else:
                 titles = (c for c in element if isinstance(c.tag, str) and _local(c.tag) == "heading")
-            found.append(
-                {
-                    "path": list(path),
-                    "heading": next(_own_text(titles), "").strip(),
-                    "content": "\n".join(
-                        t.strip() for t in _texts(element) if t.strip(" \t\r\n")
-                    ),
-                }
-            )
+            heading = next(_own_text(titles), "").strip()
+            content = "\n".join(t.strip() for t in _texts(element) if t.strip(" \t\r\n"))
+            found.append((path, heading, content))
         stack.extend((child, path) for child in reversed(element))
     return found
 
@@ -90,17 +82,30 @@ def statute_sections(files: DataFrame, namespace: str | None = None,
 
     ship_package(files.sparkSession)
 
-    arrow_type = to_arrow_schema(T.StructType.fromDDL(f"s {_SECTIONS}")).field(0).type
-
-    @F.arrow_udf(_SECTIONS)
-    def parse(texts: pa.Array) -> pa.Array:
-        return pa.array(
-            [_sections(xml, namespace) if xml else None for xml in texts.to_pylist()], arrow_type
-        )
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Columns are filled one by one; rows as dictionaries would cost more than the parsing.
+            file, ends, tags, nums, headings, contents = [], [0], [], [], [], []
+            for i, xml in enumerate(batch.column("value").to_pylist()):
+                for place, heading, content in _sections(xml, namespace) if xml else ():
+                    file.append(i)
+                    tags += [tag for tag, _ in place]
+                    nums += [num for _, num in place]
+                    ends.append(len(tags))
+                    headings.append(heading)
+                    contents.append(content)
+            steps = pa.StructArray.from_arrays([pa.array(tags, pa.string()), pa.array(nums, pa.string())], ["tag", "num"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("source_file").take(pa.array(file, pa.int64())),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), steps),
+                    pa.array(headings, pa.string()), pa.array(contents, pa.string()),
+                ],
+                names=["source_file", "path", "heading", "content"],
+            )
 
-    found = files.select(
-        F.col(path).alias("source_file"), F.inline_outer(parse(F.col(value)))
-    ).where(F.col("path").isNotNull())
+    read = files.select(F.col(path).cast("string").alias("source_file"), F.col(value).cast("string").alias("value"))
+    found = read.mapInArrow(parse, f"source_file string, path {_PATH}, heading string, content string")
     hierarchy = F.col("path")
     labels = F.transform(
         F.filter(hierarchy, lambda p: F.coalesce(p["num"], F.lit("")) != ""),
