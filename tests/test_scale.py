@@ -1,11 +1,15 @@
 """Plans and rules that keep large tables within bounds."""
 
+import gzip
+import random
 import re
 
 from pyspark.sql import functions as F
 
 from docketry import views
-from docketry.operators import annotate, casemeta
+from docketry.operators import annotate, casemeta, lexical
+from docketry.session import new_work_dir
+from docketry.sources import files
 
 
 def test_headers_are_joined_before_the_texts_move(spark, sf):
@@ -28,3 +32,51 @@ def test_rules_behind_quick_searches_find_what_they_did(spark):
     text = F.col("text")
     got = rows.select(casemeta.disposition(text).alias("d"), F.array_join(annotate.holdings(text), "|").alias("h")).orderBy("i")
     assert [(r["d"], r["h"]) for r in got.collect()] == [(d, h) for _, d, h in said]
+
+
+def _stored(spark, texts):
+    path = new_work_dir(spark, "lexical")
+    rows = spark.createDataFrame(list(texts.items()), "chunk_id string, content string")
+    lexical.build_lexical_index(spark, rows, path, buckets=4)
+    return rows, lexical.load_lexical_index(spark, path)
+
+
+def test_long_queries_are_scored_without_pairs_of_blocks(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = {f"c{i}": " ".join(f"w{rng.randrange(30)}" for _ in range(rng.randrange(1, 40))) for i in range(300)}
+    rows, index = _stored(spark, texts)
+    words = " ".join(f"w{i}" for i in range(20))
+    queries = spark.createDataFrame([(1, words), (None, words + " w3"), (3, "w1"), (4, "unknown")], "query_id int, text string")
+
+    def hits(found):
+        return sorted((str(r["query_id"]), r["rank"], r["chunk_id"], round(r["score"], 6)) for r in found.collect())
+
+    plain = lexical.index_from(lexical.chunk_terms(rows))
+    want = hits(lexical.search_lexical(plain, queries))
+    assert len(want) == 30
+    monkeypatch.setattr(lexical, "BLOCK_SCORES", 40)
+    assert hits(lexical.search_lexical(plain, queries)) == want
+    monkeypatch.setattr(lexical, "BLOCK_SCORES", 0)
+    assert hits(lexical.search_lexical(plain, queries)) == want
+    monkeypatch.undo()
+    assert hits(lexical.search_lexical(index, queries)) == want
+    monkeypatch.setattr(lexical, "search_blocks", None)
+    assert hits(lexical.search_lexical(index, queries.where("query_id = 1"))) == [h for h in want if h[0] == "1"]
+
+
+def test_bounds_are_made_without_a_shuffle(spark):
+    rows = spark.createDataFrame([(0, "a", 1, 2, 5, False), (0, "a", 1, 3, 4, False), (0, "b", 1, 9, 9, True)],
+                                 "term_bucket int, term string, shard long, tf long, dl long, deleted boolean").coalesce(1)
+    found = lexical._bounds(rows)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [(0, "a", 1, 3, 4)]
+
+
+def test_a_large_file_is_a_row_as_it_was_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_FLUSH_BYTES", 8)
+    sizes = {"a": 3, "b": 4, "c": 20, "d": 0, "e": 9}
+    for name, n in sizes.items():
+        (tmp_path / name).write_bytes(b"x" * n)
+    (tmp_path / "f.gz").write_bytes(gzip.compress(b"packed"))
+    rows = files.scan_files(spark, str(tmp_path)).collect()
+    assert {r["file_name"]: len(r["content"]) for r in rows} == {**sizes, "f.gz": 6}
