@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from docketry import views
 from docketry.operators import annotate, casemeta, lexical
+from docketry.plans import tables
 from docketry.session import new_work_dir
 from docketry.sources import files
 
@@ -80,3 +81,15 @@ def test_a_large_file_is_a_row_as_it_was_read(spark, tmp_path, monkeypatch):
     (tmp_path / "f.gz").write_bytes(gzip.compress(b"packed"))
     rows = files.scan_files(spark, str(tmp_path)).collect()
     assert {r["file_name"]: len(r["content"]) for r in rows} == {**sizes, "f.gz": 6}
+
+
+def test_a_stored_index_holds_an_id_once_for_each_chunk(spark):
+    path = new_work_dir(spark, "lexical")
+    rows = spark.createDataFrame([("a", "one two three two"), ("b", ""), ("c", "one four")], "chunk_id string, content string")
+    lexical.build_lexical_index(spark, rows, path, buckets=4)
+    lexical.build_lexical_index(spark, rows.where("chunk_id = 'c'").withColumn("content", F.lit("five")), path)
+    stored = tables.read_every(spark, f"{path}/postings")
+    assert sorted(r["chunk_id"] for r in stored.where("chunk_id IS NOT NULL").collect()) == ["a", "b", "c", "c"]
+    assert stored.where("term IS NOT NULL AND chunk_id IS NOT NULL").isEmpty()
+    found = lexical.load_lexical_index(spark, path).postings.select("chunk_id", "term", "tf", "dl").collect()
+    assert sorted(map(tuple, found)) == [("a", "one", 1, 4), ("a", "three", 1, 4), ("a", "two", 2, 4), ("c", "five", 1, 1)]
