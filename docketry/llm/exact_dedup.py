@@ -58,7 +58,7 @@ def digests(docs: DataFrame, batch: int) -> DataFrame:
     return stage(
         rows.select("row", "doc", F.col("doc.doc_id").alias("id"), F.length(text).cast("bigint").alias("size"),
                     F.sha2(normalised(F.col("doc.text")), 256).alias("sha")),
-        "exact-rows",
+        "exact-rows", "zstd",
     )
 
 

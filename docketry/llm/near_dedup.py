@@ -191,7 +191,8 @@ def sketch(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
             *(T.StructField(p, T.LongType()) for p in PLANE_NAMES),
         ]
     )
-    return stage(map_arrow(rows, run, schema), "near-sketch")
+    # Most of it are the texts, which are kept until links are confirmed.
+    return stage(map_arrow(rows, run, schema), "near-sketch", "zstd")
 
 
 def _keys() -> Column:
@@ -253,7 +254,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 
 def _texts_of(ids: DataFrame, sketches: DataFrame) -> DataFrame:
     texts = sketches.select(F.col("row").alias("node"), F.col("doc.text").alias("text"))
-    return stage(semi_or_anti(texts, stage(ids.distinct(), "near-ids"), ["node"], "left_semi"), "near-texts")
+    return stage(semi_or_anti(texts, stage(ids.distinct(), "near-ids"), ["node"], "left_semi"), "near-texts", "zstd")
 
 
 def _mixed(rows: DataFrame, parts: DataFrame) -> DataFrame:

@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 from collections import Counter
+from urllib.parse import unquote
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,3 +211,12 @@ def test_components(spark, monkeypatch, hubs):
 def test_empty_tables(empty):
     for fn in (near_dedup.near_duplicates, near_dedup.drop_near_duplicates, exact_dedup.exact_duplicates, exact_dedup.drop_exact_duplicates):
         assert fn(empty).collect() == []
+
+
+def test_copies_of_the_texts_are_stored_with_zstd(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, None)], "doc_id bigint, text string")
+    for made in (near_dedup.sketch(docs), exact_dedup.digests(docs, 0)):
+        for file in made.inputFiles():
+            meta = pq.ParquetFile(unquote(file.removeprefix("file://"))).metadata
+            kinds = {meta.row_group(g).column(c).compression for g in range(meta.num_row_groups) for c in range(meta.num_columns)}
+            assert kinds <= {"ZSTD"}
