@@ -734,9 +734,10 @@ def ingest_stream(spark, sf_dir):
 def ingest_folder(spark, sf_dir):
     """Conversations as stored files: a full run, then delta runs over what is new, and over nothing."""
     store, out = new_work_dir(spark, "store"), new_work_dir(spark, "ingest")
+    # A file costs time, not bytes, so their number is dealt to tasks that are not put together again.
     turns = views.table(spark, sf_dir, "conversations").select(
         "conv_id", F.concat_ws(": ", "role", F.regexp_replace("text", r"\s+", " ")).alias("value")
-    ).repartition("conv_id")
+    ).repartition(4 * spark.sparkContext.defaultParallelism, "conv_id")
     steps = ingest.Steps(supported=[".txt"])
     for n, (mode, some) in enumerate([("full", "conv_id % 3 = 0"), ("delta", "conv_id % 3 > 0"), ("delta", "conv_id < 0")]):
         turns.where(some).write.mode("append").partitionBy("conv_id").text(store)

@@ -2,7 +2,7 @@
 
 Spark's own file sources leave out files of zero bytes.  This one lists them
 too, and it lists on the executors: the driver only looks at the first level of
-folders, each of which becomes a partition.
+folders, which it deals to a bounded number of partitions.
 """
 
 from __future__ import annotations
@@ -26,6 +26,9 @@ _ARROW = pa.schema(
     ]
 )
 _BATCH = 10_000
+#: Partitions that the first level of folders is dealt to, at most; a task for each folder
+#: would make a store of many small folders cost a task start for every file.
+_PARTITIONS = 128
 _SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
@@ -68,9 +71,9 @@ def glob_pattern(glob: str) -> re.Pattern:
     return re.compile(out)
 
 
-class _Folder(InputPartition):
-    def __init__(self, path: str, recurse: bool):
-        self.path, self.recurse = path, recurse
+class _Folders(InputPartition):
+    def __init__(self, paths: list[str], recurse: bool):
+        self.paths, self.recurse = paths, recurse
 
 
 class _ListingReader(DataSourceReader):
@@ -79,15 +82,16 @@ class _ListingReader(DataSourceReader):
         glob = options.get("pathglobfilter") or options.get("pathGlobFilter")
         self.pattern = glob_pattern(glob) if glob else None
 
-    def partitions(self) -> list[_Folder]:
+    def partitions(self) -> list[_Folders]:
         system, path = open_filesystem(self.root)
         children = system.get_file_info(pafs.FileSelector(path))
-        folders = [c.path for c in children if c.type == pafs.FileType.Directory]
-        return [_Folder(path, False)] + [_Folder(f, True) for f in sorted(folders)]
+        folders = sorted(c.path for c in children if c.type == pafs.FileType.Directory)
+        n = min(_PARTITIONS, len(folders))
+        return [_Folders([path], False)] + [_Folders(folders[i::n], True) for i in range(n)]
 
-    def read(self, partition: _Folder) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Folders) -> Iterator[pa.RecordBatch]:
         system, path = open_filesystem(self.root)
-        waiting, rows = [partition.path], []
+        waiting, rows = list(partition.paths), []
         while waiting:
             for info in system.get_file_info(pafs.FileSelector(waiting.pop())):
                 if info.type == pafs.FileType.Directory:

@@ -10,7 +10,7 @@ from docketry import views
 from docketry.operators import annotate, casemeta, lexical
 from docketry.plans import tables
 from docketry.session import new_work_dir
-from docketry.sources import files
+from docketry.sources import files, listing
 
 
 def test_headers_are_joined_before_the_texts_move(spark, sf):
@@ -93,3 +93,16 @@ def test_a_stored_index_holds_an_id_once_for_each_chunk(spark):
     assert stored.where("term IS NOT NULL AND chunk_id IS NOT NULL").isEmpty()
     found = lexical.load_lexical_index(spark, path).postings.select("chunk_id", "term", "tf", "dl").collect()
     assert sorted(map(tuple, found)) == [("a", "one", 1, 4), ("a", "three", 1, 4), ("a", "two", 2, 4), ("c", "five", 1, 1)]
+
+
+def test_a_store_of_many_folders_is_listed_in_few_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(listing, "_PARTITIONS", 3)
+    names = [f"d{i}/e/f{i}" for i in range(20)] + ["top", "d1/g"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    reader = listing._ListingReader({"path": str(tmp_path)})
+    parts = reader.partitions()
+    assert len(parts) == 4
+    found = [n for p in parts for b in reader.read(p) for n in b.column("file_name").to_pylist()]
+    assert sorted(found) == sorted(names)
