@@ -33,6 +33,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -216,10 +217,12 @@ def _counts(docs: DataFrame, sample: DataFrame, s: Settings) -> np.ndarray:
 
     read = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left").select("text", "y", "w")
     made = map_arrow(read, count, "b bigint, tox double, clean double, n double")
-    # At most `size` rows, whatever the input.
-    rows = made.groupBy("b").agg(F.sum("tox").alias("tox"), F.sum("clean").alias("clean"), F.sum("n").alias("n")).toPandas()
+    # At most `size` rows, whatever the input.  As Arrow, since a Python object for each row would take many times the memory.
+    rows = made.groupBy("b").agg(F.sum("tox").alias("tox"), F.sum("clean").alias("clean"), F.sum("n").alias("n")).toArrow()
     sums = np.zeros((3, size))
-    sums[:, rows["b"].to_numpy(np.int64)] = rows[["tox", "clean", "n"]].to_numpy().T
+    at = rows.column("b").to_numpy()
+    for row, name in zip(sums, ("tox", "clean", "n")):
+        row[at] = rows.column(name).to_numpy()
     return sums
 
 
@@ -280,10 +283,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     read = docs.select("doc_id", "text").join(F.broadcast(sample.where(for_curve)), "doc_id").select("text", "y", "w")
     measured = stage(map_arrow(read, measure, "y int, w double, n bigint, found array<double>"), "toxic-segments")
     # Of at most `max_labelled` documents; all segments of a text stay in the table.
-    rows = measured.select("y", "n", F.coalesce(F.array_max("found"), F.lit(0.0)).alias("top")).toPandas()
-    y = rows["y"].to_numpy(float)
-    n = np.maximum(rows["n"].to_numpy(float), 1)
-    top = rows["top"].to_numpy(float)
+    rows = measured.select("y", "n", F.coalesce(F.array_max("found"), F.lit(0.0)).alias("top")).toArrow()
+    y, n, top = (rows.column(c).to_numpy().astype(float) for c in ("y", "n", "top"))
+    n = np.maximum(n, 1)
     quiet = (y == 0) & (top > 0)
     # Middle of the extreme-value law: (ln(K n) - ln ln 2) / lam.  A few clean labels are wrong; the median bears them.
     log_k = float(np.median(lam * top[quiet] - np.log(n[quiet])) + math.log(math.log(2))) if quiet.any() else 0.0
@@ -296,9 +298,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
             x = [_evidence(f.values.to_numpy(), k.as_py(), lam, log_k) for f, k in zip(batch.column("found"), batch.column("n"))]
             yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("w"), pa.array(x, pa.list_(pa.float64()))], names=["y", "w", "x"])
 
-    rows = map_arrow(measured, weigh, "y int, w double, x array<double>").toPandas()
-    x = np.array(rows["x"].tolist(), float)
-    return replace(model, weights=tuple(fit_logistic(x, rows["y"].to_numpy(float), rows["w"].to_numpy(float))))
+    rows = map_arrow(measured, weigh, "y int, w double, x array<double>").toArrow()
+    x = pc.list_flatten(rows.column("x")).to_numpy().reshape(len(rows), -1)
+    y, w = (rows.column(c).to_numpy().astype(float) for c in ("y", "w"))
+    return replace(model, weights=tuple(fit_logistic(x, y, w)))
 
 
 def _judge(values: np.ndarray, m: Model) -> tuple[float, list[tuple[int, int, float]]]:

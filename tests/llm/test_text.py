@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -121,6 +123,27 @@ def test_evidence_counts_every_segment():
     assert math.isclose(toxicity._evidence(np.array(scores), n, 1.0, log_k)[1], want)
 
 
+def test_counts_reach_the_driver_without_an_object_for_each_row(spark):
+    docs = spark.range(40).selectExpr(
+        "id AS doc_id", "array_join(transform(sequence(1, 5000), i -> concat('w', id * 5000 + i)), ' ') AS text"
+    )
+    sample = spark.createDataFrame([(1, 1, 1.0), (2, 0, 0.5)], "doc_id long, y int, w double")
+    settings = toxicity.Settings()
+    tracemalloc.start()
+    try:
+        sums = toxicity._counts(docs, sample, settings)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    words = 1 << settings.bits
+    assert sums[:, :words].sum(axis=1).tolist() == [5000, 2500, 38 * 5000 + 7500]
+    want = np.zeros(words)
+    for i in range(5001, 10001):
+        want[zlib.crc32(b"w%d" % i) & (words - 1)] += 1
+    assert sums[0, :words].tolist() == want.tolist()
+    assert peak < 4 * sums.nbytes
+
+
 def test_toxic_passages_and_filter(spark):
     docs, labels_, _ = labelled(spark, "toxic")
     model = toxicity.fit(docs, labels_)
