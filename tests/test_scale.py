@@ -3,13 +3,15 @@
 import gzip
 import random
 import re
+import time
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from docketry import views
 from docketry.operators import annotate, casemeta, lexical
-from docketry.plans import tables
-from docketry.session import new_work_dir
+from docketry.plans import ingest, tables
+from docketry.session import new_work_dir, shuffles_removed
 from docketry.sources import files, listing
 
 
@@ -106,3 +108,36 @@ def test_a_store_of_many_folders_is_listed_in_few_tasks(spark, tmp_path, monkeyp
     assert len(parts) == 4
     found = [n for p in parts for b in reader.read(p) for n in b.column("file_name").to_pylist()]
     assert sorted(found) == sorted(names)
+
+
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f.name for d in folders for f in Path(d).rglob("shuffle_*.data")}
+
+
+def test_an_ingest_leaves_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    said = spark.createDataFrame([(f"{i}.pdf", bytearray(b"Background\nthe rent")) for i in range(40)], "file_name string, content binary")
+    out = new_work_dir(spark, "ingest")
+    ingest.ingest_files(spark, said.repartition("file_name"), out, "one")
+    assert ingest.read_runs(spark, out).first()["files_processed"] == 40
+    for _ in range(40):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.25)
+    # The look at the ledger and the read above are no steps of the run.
+    assert len(left) <= 4
+    with shuffles_removed(spark):
+        assert spark.range(9).repartition("id").count() == 9
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_opinions_of_a_given_number_of_partitions_move_once(spark, sf):
+    rows = views.opinions(spark, sf, 7)
+    assert rows.rdd.getNumPartitions() == 7
+    assert sorted(rows.collect()) == sorted(views.opinions(spark, sf).collect())
+
+
+def test_batches_are_written_with_zstd(spark, tmp_path):
+    folder = tables.write_batch(spark.range(9), str(tmp_path / "t"), 0)
+    assert list(Path(folder).glob("*.zstd.parquet")) and tables.read_every(spark, str(tmp_path / "t")).count() == 9
