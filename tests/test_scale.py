@@ -141,3 +141,41 @@ def test_opinions_of_a_given_number_of_partitions_move_once(spark, sf):
 def test_batches_are_written_with_zstd(spark, tmp_path):
     folder = tables.write_batch(spark.range(9), str(tmp_path / "t"), 0)
     assert list(Path(folder).glob("*.zstd.parquet")) and tables.read_every(spark, str(tmp_path / "t")).count() == 9
+
+
+def test_blocks_of_like_lengths_are_made_without_a_shuffle(spark):
+    rows = [(f"c{i}", "x " * (i * 7 % 50)) for i in range(200)]
+    chunks = tables.written(spark.createDataFrame(rows, "chunk_id string, content string").repartition(8), "chunks")
+    blocks = lexical._in_blocks(chunks, 3)
+    if chunks.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        assert "Exchange" not in blocks._jdf.queryExecution().executedPlan().toString()
+    got = blocks.collect()
+    assert sorted(r["chunk_id"] for r in got) == sorted(c for c, _ in rows)
+    assert len({(r["shard"], r["slot"]) for r in got}) == 200 and all(r["shard"] >> 48 == 3 for r in got)
+    places = sorted((r["shard"], r["slot"], r["_size"]) for r in got)
+    assert all(a[2] <= b[2] for a, b in zip(places, places[1:]) if a[0] == b[0])
+    assert "rangepartitioning" not in blocks._jdf.queryExecution().toString()
+
+
+def test_bounds_of_runs_hold_where_a_batch_ends(spark):
+    rng = random.Random(5)
+    rows = sorted({(b, f"t{b}{t}", s, p) for b in range(2) for t in range(5) for s in range(3) for p in range(8) if rng.random() < 0.5})
+    rows = [(*r[:3], rng.randrange(1, 9), rng.randrange(9, 50), False) for r in rows] + [(1, None, 2, None, 7, False), (1, "t11", 9, 1, 1, True)]
+    posted = spark.createDataFrame(rows, "term_bucket int, term string, shard bigint, tf bigint, dl bigint, deleted boolean").coalesce(1)
+    want = {}
+    for b, t, s, tf, dl, gone in rows:
+        if t is not None and not gone:
+            x = want.get((b, t, s), (0, 99))
+            want[b, t, s] = (max(x[0], tf), min(x[1], dl))
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    for n in (1, 4, 2000):
+        spark.conf.set(setting, n)
+        got = [tuple(r) for r in lexical._bounds(posted).collect()]
+        assert len(got) == len(want) and {r[:3]: r[3:] for r in got} == want
+    spark.conf.set(setting, before)
+
+
+def test_labels_are_compared_in_capitals_without_a_locale(spark):
+    plan = spark.createDataFrame([("affirmed",)], "t string").select(casemeta.disposition(F.col("t")))
+    assert "upper(" not in plan._jdf.queryExecution().toString().lower()
