@@ -13,6 +13,7 @@ is a table keyed by them (the permuted block tables), so no pair within the radi
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -111,6 +112,34 @@ def within_radius(queries: DataFrame, known: DataFrame, radius: int = RADIUS) ->
     )
 
 
+def _cuts_above(cuts: list[int], value: Column) -> Column:
+    """Number of the rising ``cuts`` above ``value``.
+
+    They are looked at in two steps, so a row meets twice the root of their number and not all:
+    each look makes an object, and the ranges grow with the table.
+    """
+    if not cuts:
+        return F.lit(0)
+    step = math.isqrt(len(cuts))
+    firsts = cuts[::step]
+
+    def above(some: Column) -> Column:
+        return F.size(F.filter(some, lambda c: c > value))
+
+    def both(groups: Column) -> Column:
+        # Of so many groups the first cut is above, so all are; the group before them may be so in part.
+        end = (F.lit(len(firsts)) - groups) * step
+        begin = F.greatest(end - step, F.lit(0))
+        return F.greatest(F.lit(len(cuts)) - end, F.lit(0)) + above(F.slice(F.lit(cuts).cast("array<bigint>"), begin + 1, F.least(end, F.lit(step))))
+
+    return F.get(F.transform(F.array(above(F.lit(firsts).cast("array<bigint>"))), both), F.lit(0))
+
+
+def _by_part(values: dict[int, int | None], kind: str) -> Column:
+    """The value of the row's ``part``; a list in the plan, so that nothing is broadcast for it."""
+    return F.get(F.array(*(F.lit(values.get(p)).cast(kind) for p in range(max(values) + 1))), F.col("part"))
+
+
 def with_next(docs: DataFrame, parts: int) -> DataFrame:
     """``(part, place, doc_id, text, next_text)``: each document and the one after it by falling id.
 
@@ -119,28 +148,24 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     size, one window each.  The first row of each range, which the range before it needs,
     is looked up apart.  (part, place) is unique.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     shares = [i / parts for i in range(1, parts)]
     cuts = sorted(set(docs.agg(F.percentile_approx("doc_id", shares, 10_000).alias("c")).first()["c"] or [])) if shares else []
     # Falling ids have rising parts; null ids form the last one.
-    part = F.lit(0)
-    if cuts:
-        part = F.size(F.filter(F.lit(cuts), lambda c: c.cast("bigint") > F.col("doc_id")))
+    part = _cuts_above(cuts, F.col("doc_id"))
     part = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(part).cast("int")
     placed = docs.withColumn("part", part)
     order = Window.partitionBy("part").orderBy(F.col("doc_id").desc_nulls_last(), F.col("text").desc())
     rows = placed.withColumn("place", F.row_number().over(order)).withColumn("next_text", F.lead("text").over(order))
 
     # Of each range: its first row, by largest id, then largest text.
-    first_ids = placed.groupBy("part").agg(F.max("doc_id").alias("doc_id"))
-    heads = placed.join(F.broadcast(first_ids.withColumnRenamed("part", "p")), F.col("p").eqNullSafe(F.col("part")) & first_ids["doc_id"].eqNullSafe(placed["doc_id"]))
-    heads = heads.groupBy("part").agg(F.max("text").alias("head"))
-    known = sorted(r["part"] for r in first_ids.select("part").collect())
+    first_ids = {r["part"]: r["doc_id"] for r in placed.groupBy("part").agg(F.max("doc_id").alias("doc_id")).collect()}
+    known = sorted(first_ids)
     if not known:
         return rows
-    follows = spark.createDataFrame([(p, known[(i + 1) % len(known)]) for i, p in enumerate(known)], "part int, after int")
-    heads = heads.select(F.col("part").alias("after"), "head").join(F.broadcast(follows), "after").select("part", "head")
+    before = {p: known[i - 1] for i, p in enumerate(known)}
+    heads = placed.where(F.col("doc_id").eqNullSafe(_by_part(first_ids, "bigint")))
+    heads = heads.groupBy("part").agg(F.max("text").alias("head")).select(_by_part(before, "int").alias("part"), "head")
     last = F.col("next_text").isNull()
     return (
         rows.join(heads.withColumn("_end", F.lit(True)), "part", "left")

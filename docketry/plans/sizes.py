@@ -49,7 +49,8 @@ def join_hot_key(big: DataFrame, other: DataFrame, on: str, spread: str,
     ``other`` is broadcast when its size allows.  Beyond that both sides get a
     salt: rows of ``big`` by the hash of ``spread``, rows of ``other`` once per
     salt value.  Every pair still meets exactly once, and no key sits in a
-    single task.
+    single task.  Spark does not count the rows that ``explode`` adds, so it would take the
+    copies for small and broadcast them; the hint keeps them from the driver.
     """
     if is_small(other) if small is None else small:
         return big.join(F.broadcast(other), on)
@@ -57,4 +58,4 @@ def join_hot_key(big: DataFrame, other: DataFrame, on: str, spread: str,
     copies = other.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    return salted.join(copies, [on, "_salt"]).drop("_salt")
+    return salted.join(copies.hint("merge"), [on, "_salt"]).drop("_salt")

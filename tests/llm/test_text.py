@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from docketry.llm import quality, secrets, sentence_spans, simhash, toxicity
 from docketry.llm.common import word_spans, words_of
+from docketry.plans.sizes import join_hot_key
 from llm_cases import WORDS, prose, sentence
 
 # --- segments and factorisation machine ------------------------------------------
@@ -341,6 +342,32 @@ def test_radius_search_equals_brute_force(spark):
     assert got == {(a, b, d) for (a, b), d in apart.items() if d <= simhash.RADIUS}
 
 
+def test_little_of_a_search_goes_through_the_driver(spark):
+    rng = random.Random(8)
+    rows = [(i if i % 9 else None, prose(rng, 2)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    pairs = simhash.with_next(docs, 7)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan and plan.count("Join") == 1
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]), reverse=True)
+    want = {(r[0], r[1], order[(i + 1) % 60][1]) for i, r in enumerate(order)}
+    assert {(r["doc_id"], r["text"], r["next_text"]) for r in pairs.collect()} == want
+    # Beyond the bound the copies of the smaller side are not broadcast, however few rows they are made of.
+    keys = spark.createDataFrame([(i % 20, i) for i in range(40)], "key long, near long")
+    other = keys.select("key").distinct().withColumn("query", F.explode(F.array("key", F.col("key") + 1)))
+    near = join_hot_key(keys, other, "key", "near", small=False)
+    assert sorted(map(tuple, near.collect())) == sorted((i % 20, i, i % 20 + d) for i in range(40) for d in (0, 1))
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 8, 9, 10, 99])
+def test_cuts_above_an_id_are_counted_in_two_steps(spark, n):
+    cuts = sorted(random.Random(n).sample(range(-300, 300), n))
+    rows = spark.createDataFrame([(v,) for v in range(-302, 303)], "v long")
+    got = rows.select("v", simhash._cuts_above(cuts, F.col("v")).alias("n")).collect()
+    assert all(r["n"] == sum(c > r["v"] for c in cuts) for r in got)
+
+
 # --- spans of sentences ----------------------------------------------------------
 
 
